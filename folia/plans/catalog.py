@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
-FLAGSHIP = None
+from folia.plans import graph_queries, metric_queries, sampling_queries, search_queries, text_queries, tree_queries  # noqa: F401
+from folia.plans.registry import ORACLE_SQL, QUERIES
+
+FLAGSHIP = search_queries.hybrid_retrieval
+
+__all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES"]
