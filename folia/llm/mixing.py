@@ -20,7 +20,7 @@ from folia.llm.common import WORD, written
 from folia.session import ship
 
 #: Rows of one source that are flown together; small, so that a source with a third of all rows spreads over many tasks.
-BLOCK_ROWS = 1_000
+BLOCK_ROWS = 200
 EPS = 1e-9
 
 
@@ -118,30 +118,30 @@ def mix_sources(
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(rate + EPS)
     rows = rows.withColumn("sure", whole.cast("int")).withColumn("p", F.greatest(F.lit(0.0), rate - whole))
-    sums = t.groupBy("source").agg(F.count("*").alias("n"))
-    most_rows = sums.agg(F.max("n")).first()[0] or 0
+    counts = t.groupBy("source").agg(F.count("*").alias("n"))
+    parts = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
+    most_parts = counts.agg(F.max(parts)).first()[0] or 1
+    rows = rows.join(counts, rows["source"].eqNullSafe(counts["source"])).drop(counts["source"]).withColumn("parts", parts)
     order = F.xxhash64("doc_id", "text_hash", F.lit(seed))
-    left = rows.where(f"p > {EPS} and size > 0").select("row", "source", "size", "p", order.alias("draw"))
+    left = rows.where(f"p > {EPS} and size > 0").select("row", "source", "size", "p", order.alias("draw"), "parts")
 
-    def flight(land: bool):
-        def run(key: tuple, t: pa.Table) -> pa.Table:
-            t = t.sort_by([("draw", "ascending"), ("size", "ascending"), ("row", "ascending")])
-            p = fly(t.column("p").to_numpy(), t.column("size").to_numpy(), abs(hash((seed, int(key[1].as_py())))), land)
-            return t.set_column(t.column_names.index("p"), "p", pa.array(p, pa.float64())).drop_columns(["block"])
-
-        return run
+    def flight(key: tuple, t: pa.Table) -> pa.Table:
+        t = t.sort_by([("draw", "ascending"), ("size", "ascending"), ("row", "ascending")])
+        p = fly(t.column("p").to_numpy(), t.column("size").to_numpy(), abs(hash((seed, int(key[2].as_py())))), key[1].as_py() == 1)
+        return t.set_column(t.column_names.index("p"), "p", pa.array(p, pa.float64())).drop_columns(["block"])
 
     done = None
     while True:
-        blocks = max(1, -(-most_rows // BLOCK_ROWS))
-        at = left.withColumn("block", F.pmod(F.shiftright("draw", 20), F.lit(blocks)))
-        flown = written(at.groupBy("source", "block").applyInArrow(flight(blocks == 1), "row long, source string, size long, p double, draw long"))
+        # a source whose rows are one block is landed
+        at = left.withColumn("block", F.pmod(F.shiftright("draw", 20), F.col("parts")))
+        flown = written(at.groupBy("source", "parts", "block").applyInArrow(flight, "row long, source string, size long, p double, draw long, parts int"))
         settled = flown.where("p in (0.0, 1.0)").select("row", "p")
         done = settled if done is None else done.union(settled)
-        if blocks == 1:
+        if most_parts == 1:
             break
-        left = flown.where("p not in (0.0, 1.0)")
-        most_rows = 2 * blocks
+        # two rows of a block are left at most
+        most_parts = -(-2 * most_parts // BLOCK_ROWS)
+        left = flown.where("p not in (0.0, 1.0)").withColumn("parts", F.ceil(2 * F.col("parts") / BLOCK_ROWS).cast("int"))
     taken = done.select("row", F.col("p").cast("int").alias("extra"))
     rows = rows.join(taken, "row", "left").withColumn("copies", F.col("sure") + F.coalesce("extra", F.lit(0)))
     return rows.select("doc_id", "text_hash", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "row")
