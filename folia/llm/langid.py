@@ -32,24 +32,21 @@ def fit_dictionaries(
 ) -> dict[str, bytes]:
     """{language: dictionary bytes} from columns doc_id, text, lang.
 
-    The bound of the fit: per language the sample_docs rows with the smallest
-    hash of doc_id, of each at most piece_bytes around the middle of its text,
-    dict_bytes in all. At most that reaches the driver. Languages are expected to be few.
-    Each row is thinned by its hash first, so that ranking sees a small part of a large corpus."""
+    The bound of the fit: per language about sample_docs rows, those whose hash of doc_id is smallest,
+    and of each at most piece_bytes characters around the middle of its text; dict_bytes in all. Not more than that
+    reaches the driver. Languages are expected to be few."""
     ok = labelled.where("text is not null and lang is not null and length(text) > 0")
     counts = {r["lang"]: r["n"] for r in ok.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return {}
     h = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(int(min(1.0, 4.0 * sample_docs / n) * (1 << 30))))])
+    # the share of the hash range that leaves about sample_docs rows of each language
+    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(int(min(1.0, sample_docs / n) * (1 << 30))))])
     start = F.greatest(F.lit(1), ((F.length("text") - piece_bytes) / 2).cast("int"))
     thin = ok.where(h <= share[F.col("lang")]).select("lang", h.alias("h"), "doc_id", F.substring("text", start, F.lit(piece_bytes)).alias("piece"))
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("lang").orderBy("h", "doc_id", "piece")
-    rows = thin.withColumn("r", F.row_number().over(w)).where(F.col("r") <= sample_docs).select("lang", "r", "piece").collect()
+    rows = sorted(thin.limit(4 * sample_docs * len(counts)).collect(), key=lambda r: (r["lang"], -r["h"], str(r["doc_id"]), r["piece"]))
     out: dict[str, list[bytes]] = {}
-    for r in sorted(rows, key=lambda r: (r["lang"], -r["r"])):
+    for r in rows:
         out.setdefault(r["lang"], []).append(r["piece"].encode())
     return {k: b" ".join(v)[-dict_bytes:] for k, v in out.items()}
 
