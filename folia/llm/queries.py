@@ -64,9 +64,11 @@ QUERIES = {f.__name__: f for f in (
     op6_pair_index_bpe, op7_difference_cover, op8_anchor_simhash, op9_huffman_ids, op10_cross_polytope,
 )}
 
+# Fixed value: the RFC 4648 alphabet of base 32.
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _HEX = "('0x' || substr(h, {0}, 5))::INTEGER"
 _LETTERS = " || ".join(
-    f"substr('{warc.BASE32}', ((({_HEX.format(5 * k + 1)}) >> {s}) & 31) + 1, 1)" for k in range(8) for s in (15, 10, 5, 0)
+    f"substr('{BASE32}', ((({_HEX.format(5 * k + 1)}) >> {s}) & 31) + 1, 1)" for k in range(8) for s in (15, 10, 5, 0)
 )
 
 ORACLE_SQL = {

@@ -1,117 +1,143 @@
 """WARC archives with an index first.
 
-Records are laid out before they are written: each gets its archive, its offset and its
-length, and these with URL and digest are the index, a table. The archives are
-written by Spark's text writer, whose line separator is the blank lines that end a WARC
-record. Reading starts from the index: the wanted records are sorted by
-archive and offset, neighbours are joined to ranges of bounded bytes, each range is read
-once, and the records are cut out of it."""
+Every page becomes a gzip member with its response record, built where the page is read. The first
+page of each payload is found from digests alone; other pages of that payload turn into small
+revisit records. Members are laid into archives in row order, and with each archive its part of the
+index is written: offset, length, URL and digest of every record. Reading starts from the index: the
+wanted records are sorted by archive and offset, neighbours are joined to ranges of bounded
+bytes, each range is read once, and the records are cut out of it."""
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folia.llm.common import shared_dir, written
+from folia.llm.common import raw, shared_dir, slices, written
 from folia.session import ship
 
-END = "\r\n\r\n"
-#: RFC 4648 alphabet of base 32.
-BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+#: An archive is closed when it has this many bytes.
 ARCHIVE_BYTES = 64 << 20
+#: Rows whose members are laid out together.
+CHUNK_ROWS = 512
 RANGE_BYTES = 8 << 20
 GAP_BYTES = 64 << 10
+DATE = "1970-01-01T00:00:00Z"
 
 
-def base32_sha1(text: Column) -> Column:
-    """Upper-case base-32 SHA-1 of the UTF-8 bytes: four letters for every five hex digits."""
-    digest = F.sha1(F.encode(text, "UTF-8"))
-    letters = []
-    for k in range(8):
-        n = F.conv(F.substring(digest, 5 * k + 1, 5), 16, 10).cast("int")
-        for shift in (15, 10, 5, 0):
-            letters.append(F.substring(F.lit(BASE32), F.shiftright(n, shift).bitwiseAND(F.lit(31)) + 1, F.lit(1)))
-    return F.concat(*letters)
+def _member(data: bytes) -> bytes:
+    """A gzip member without time stamp, so that reruns agree."""
+    z = zlib.compressobj(6, zlib.DEFLATED, 31)
+    return z.compress(data) + z.flush()
 
 
-def digests(pages: DataFrame, id_col: str, url_col: str, payload_col: str) -> DataFrame:
-    """Rows with row number, payload, digest, and whether they are the first of their payload.
+def _urn(page_id: int | None) -> bytes:
+    return b"<urn:page:%s>" % (b"none" if page_id is None else str(page_id).encode())
+
+
+def _uri(url: bytes | None) -> bytes:
+    """Control characters and spaces are percent-encoded, so that a URL stays on its line."""
+    return b"".join(b"%%%02X" % c if c < 33 or c == 127 else bytes((c,)) for c in url or b"") if url and any(c < 33 or c == 127 for c in url) else url or b""
+
+
+def record(page_id: int | None, url: bytes | None, digest: bytes, size: int, payload: bytes | None, refers_to: int | None = None) -> bytes:
+    """A response record, or without payload a revisit record of the page refers_to."""
+    revisit = payload is None
+    block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: %d\r\n\r\n" % size + (payload or b"")
+    lines = [
+        b"WARC/1.1", b"WARC-Type: " + (b"revisit" if revisit else b"response"), b"WARC-Record-ID: " + _urn(page_id),
+        b"WARC-Target-URI: " + _uri(url), b"WARC-Date: " + DATE.encode(), b"WARC-Payload-Digest: sha1:" + digest,
+    ]
+    if revisit:
+        lines += [b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", b"WARC-Refers-To: " + _urn(refers_to)]
+    lines += [b"Content-Type: application/http;msgtype=response", b"Content-Length: %d" % len(block)]
+    return b"\r\n".join(lines) + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def members(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
+    """(row, page_id, url, digest, payload_bytes, member): the gzip member of each page's response; a null payload is empty."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "payload"):
+            payloads = [x or b"" for x in raw(b, "payload")]
+            digests = [base64.b32encode(hashlib.sha1(x).digest()) for x in payloads]
+            rows = zip(b.column("page_id").to_pylist(), raw(b, "url"), digests, payloads)
+            out = [_member(record(i, u, d, len(x), x)) for i, u, d, x in rows]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("row"), b.column("page_id"), b.column("url"), pa.array(digests, pa.binary()).cast(pa.string()), pa.array([len(x) for x in payloads], pa.int64()), pa.array(out, pa.binary())],
+                names=["row", "page_id", "url", "digest", "payload_bytes", "member"],
+            )
 
-    The smallest id of each digest is found by a partial aggregate, so that a
-    payload shared by very many rows does not gather in one task."""
-    payload = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
     t = pages.select(
-        F.col(id_col).cast("long").alias("page_id"), F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("url"), payload.alias("payload"),
-        F.octet_length(payload).cast("long").alias("payload_bytes"), base32_sha1(payload).alias("digest"),
-        F.monotonically_increasing_id().alias("row"),
+        F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(payload_col).cast("string").alias("payload")
     )
-    keyed = written(t.select("row", "page_id", "digest", "payload_bytes"))
+    return t.mapInArrow(run, "row long, page_id long, url string, digest string, payload_bytes long, member binary")
+
+
+def write_archives(pages: DataFrame, path: str, smallest: int = 0, archive_bytes: int = ARCHIVE_BYTES, **columns) -> DataFrame:
+    """Write archives under path/data and their index under path/index; returns the index.
+
+    Payloads of at least `smallest` bytes that repeat an earlier page's (the smallest page_id, null last, then row
+    order) become revisits. The first of a payload is a partial aggregate over digests, so that one payload
+    of very many pages does not gather in a task. Archives get their names from the rows in them and appear under them
+    when they are whole, so a task that runs again replaces its own. A chunk of rows that holds more than archive_bytes gives several archives."""
+    spark = pages.sparkSession
+    ship(spark)
+    store = written(members(pages, **columns), "none")
     order = F.struct(F.col("page_id").isNull().alias("none"), F.col("page_id").alias("page_id"), F.col("row").alias("row"))
-    first = keyed.groupBy("digest", "payload_bytes").agg(F.min(order).alias("first"))
-    meta = keyed.join(first, ["digest", "payload_bytes"]).select(
-        "row", (F.col("first.row") == F.col("row")).alias("is_first"), F.col("first.page_id").alias("first_id")
-    )
-    return t.join(written(meta), "row")
-
-
-def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", smallest: int = 0, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
-    """One WARC record a row: (row, page_id, url, digest, payload_bytes, kind, refers_to, record).
-
-    Payloads of at least `smallest` bytes that repeat an earlier page's (the smallest page_id, null last) become
-    revisits without payload; others are responses. Control characters and spaces in a URL are percent-encoded."""
-    t = digests(pages, id_col, url_col, payload_col)
-    revisit = ~F.col("is_first") & (F.col("payload_bytes") >= smallest)
-    url = F.col("url")
-    for c in [*range(33), 127]:
-        url = F.replace(url, F.lit(chr(c)), F.lit(f"%{c:02X}"))
-    urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("none")), F.lit(">"))
-    line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
-    http = F.concat(
-        F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\n"), line("Content-Length", F.col("payload_bytes").cast("string")), F.lit("\r\n")
-    )
-    block = F.when(revisit, http).otherwise(F.concat(http, F.col("payload")))
-    head = F.concat(
-        F.lit("WARC/1.1\r\n"),
-        F.when(revisit, F.lit("WARC-Type: revisit\r\n")).otherwise(F.lit("WARC-Type: response\r\n")),
-        line("WARC-Record-ID", urn(F.col("page_id"))),
-        line("WARC-Target-URI", url),
-        F.lit(f"WARC-Date: {date}\r\n"),
-        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
-        F.when(revisit, F.concat(
-            F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\n"), line("WARC-Refers-To", urn(F.col("first_id"))),
-        )).otherwise(F.lit("")),
-        F.lit("Content-Type: application/http;msgtype=response\r\n"),
-        line("Content-Length", F.octet_length(block).cast("string")),
-        F.lit("\r\n"),
-    )
-    return t.select("row", "page_id", "url", "digest", "payload_bytes", F.when(revisit, "revisit").otherwise("response").alias("kind"), F.concat(head, block).alias("record"))
-
-
-def write_archives(recs: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """Write records under path/data and their index (archive, offset, length, url, digest, row) under path/index; returns the index.
-
-    Archives are filled in row order: rows are cut to runs of a partition of the input, so
-    neither a window over all rows nor one archive of unbounded size is needed."""
-    spark = recs.sparkSession
-    # the row number holds the input partition in its upper bits
-    sized = written(recs.select("row", "url", "digest", F.octet_length("record").cast("long").alias("length"), F.shiftright("row", 33).alias("part")))
-    before = Window.partitionBy("part").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
-    step = len(END)
-    placed = sized.withColumn("at", F.coalesce(F.sum(F.col("length") + step).over(before), F.lit(0)))
-    placed = placed.withColumn("number", F.floor(F.col("at") / archive_bytes)).withColumn("archive", F.concat_ws("-", F.col("part").cast("string"), F.col("number").cast("string")))
-    first = Window.partitionBy("part", "number").orderBy("row")
-    plan = written(placed.withColumn("offset", F.col("at") - F.first("at").over(first)).select("row", "archive", "offset", "length", "url", "digest"))
-    out = recs.select("row", "record").join(plan.select("row", "archive", "offset"), "row")
-    out.repartition("archive").sortWithinPartitions("archive", "offset").select("archive", F.col("record").alias("value")).write.option("lineSep", END).partitionBy("archive").text(f"{path}/data")
-    names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(f"{path}/data").select("path")
-    names = names.withColumn("archive", F.regexp_extract("path", r"archive=([^/]+)/", 1))
-    plan.join(names, "archive").select("archive", "path", "offset", "length", "url", "digest", "row").write.parquet(f"{path}/index")
+    keys = store.where(F.col("payload_bytes") >= smallest).select("row", "page_id", "digest", "payload_bytes")
+    first = keys.groupBy("digest", "payload_bytes").agg(F.min(order).alias("first"))
+    again = written(keys.join(first, ["digest", "payload_bytes"]).where(F.col("first.row") != F.col("row")).select("row", F.col("first.page_id").alias("first_id")))
+    # the input partition stands in the upper bits of the row number
+    chunk = (F.shiftright("row", 33) * (1 << 24) + F.floor(F.col("row").bitwiseAND(F.lit((1 << 33) - 1)) / CHUNK_ROWS)).alias("chunk")
+    base = f"{path}/data"
+
+    def lay(held: pa.Table, revisits: pa.Table) -> pa.Table:
+        refers = dict(zip(revisits.column("row").to_pylist(), revisits.column("first_id").to_pylist()))
+        fs, root = pafs.FileSystem.from_uri(base)
+        fs.create_dir(root, recursive=True)
+        out: list[tuple] = []
+        open_: list[bytes] = []
+        size = 0
+
+        def close() -> None:
+            nonlocal size
+            if not open_:
+                return
+            name = f"{root}/pages-{out[-len(open_)][3]:016x}.warc.gz"
+            draft = f"{name}.{uuid.uuid4().hex}"
+            with fs.open_output_stream(draft) as f:
+                for x in open_:
+                    f.write(x)
+            fs.move(draft, name)
+            for k in range(len(out) - len(open_), len(out)):
+                out[k] = (base + "/" + name.rsplit("/", 1)[1], *out[k][1:])
+            open_.clear()
+            size = 0
+
+        for r in sorted(held.select(["row", "page_id", "url", "digest", "payload_bytes", "member"]).to_pylist(), key=lambda r: r["row"]):
+            x = r["member"]
+            if r["row"] in refers:
+                x = _member(record(r["page_id"], r["url"].encode() if r["url"] else None, r["digest"].encode(), r["payload_bytes"], None, refers[r["row"]]))
+            if open_ and size + len(x) > archive_bytes:
+                close()
+            out.append((None, size, len(x), r["row"], r["url"], r["digest"]))
+            open_.append(x)
+            size += len(x)
+        close()
+        cols = list(zip(*out)) or [[]] * 6
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+        return pa.table({k: pa.array(c, t) for k, c, t in zip(("path", "offset", "length", "row", "url", "digest"), cols, kinds)})
+
+    laid = store.withColumn("chunk", chunk).groupBy("chunk").cogroup(again.withColumn("chunk", chunk).groupBy("chunk")).applyInArrow(lay, "path string, offset long, length long, row long, url string, digest string")
+    laid.write.parquet(f"{path}/index")
     return spark.read.parquet(f"{path}/index")
 
 
@@ -146,8 +172,10 @@ def read_records(index: DataFrame, range_bytes: int = RANGE_BYTES, gap_bytes: in
     return ranges.select("path", "entries").mapInArrow(read, READ)
 
 
-def _parsed(entry: dict, record: bytes) -> tuple:
-    head, _, block = record.partition(b"\r\n\r\n")
+def _parsed(entry: dict, member: bytes) -> tuple:
+    data = zlib.decompress(member, 31)
+    head, _, block = data.partition(b"\r\n\r\n")
+    block = block.removesuffix(b"\r\n\r\n")
     lines = head.split(b"\r\n")
     fields = {k.lower(): v.strip() for k, _, v in (x.partition(b":") for x in lines[1:])}
     if not lines[0].startswith(b"WARC/") or int(fields[b"content-length"]) != len(block):
@@ -172,7 +200,7 @@ def _parsed(entry: dict, record: bytes) -> tuple:
 def archive_round_trip(pages: DataFrame, path: str | None = None, **options) -> DataFrame:
     """Write all pages to archives under `path` (default: a new shared folder), read all of them back through the index."""
     path = path or shared_dir(pages.sparkSession)
-    return read_records(write_archives(records(pages, **options), path))
+    return read_records(write_archives(pages, path, **options))
 
 
 def select_urls(spark: SparkSession, path: str, urls: DataFrame) -> DataFrame:
