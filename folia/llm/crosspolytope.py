@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from folia.llm.common import written
 from folia.session import ship
 
-CHUNK = 1_000
+CHUNK = 400
 FOUND = "query_id long, vec_id long, score double"
 
 
