@@ -1,7 +1,7 @@
 """Language identification by compression.
 
 Each language has a zstandard raw-content dictionary, filled from a bounded
-sample of labelled texts. A text is cut into pieces of a few KB; every piece is
+sample of labelled texts. A text, reduced to its words in lower case, is cut into pieces of a few KB; every piece is
 compressed with each dictionary, and the language with the smallest total wins.
 A narrow margin between the two smallest totals is a rejection."""
 
@@ -20,6 +20,13 @@ from folia.session import ship
 
 UNDETERMINED = "und"
 _PLAIN = re.compile(rb"[A-Za-z]")
+#: ASCII letters in lower case, other ASCII as space; bytes of other letters as they are.
+_LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+
+
+def normal(text: bytes) -> bytes:
+    """What is compressed: words in lower case, without digits, signs and repeated space."""
+    return b" ".join(text.translate(_LETTERS).split())
 
 
 def held_out(id_col: str = "doc_id"):
@@ -47,12 +54,12 @@ def fit_dictionaries(
     rows = sorted(thin.limit(4 * sample_docs * len(counts)).collect(), key=lambda r: (r["lang"], -r["h"], str(r["doc_id"]), r["piece"]))
     out: dict[str, list[bytes]] = {}
     for r in rows:
-        out.setdefault(r["lang"], []).append(r["piece"].encode())
+        out.setdefault(r["lang"], []).append(normal(r["piece"].encode()))
     return {k: b" ".join(v)[-dict_bytes:] for k, v in out.items()}
 
 
 def identify(
-    docs: DataFrame, dictionaries: dict[str, bytes], piece_bytes: int = 4096, level: int = 3,
+    docs: DataFrame, dictionaries: dict[str, bytes], piece_bytes: int = 2048, level: int = 6,
     text_col: str = "text", keep: list[str] | None = None,
 ) -> DataFrame:
     """Columns `keep` (default doc_id) with lang_pred and score.
@@ -81,6 +88,7 @@ def identify(
                     langs.append(UNDETERMINED)
                     scores.append(0.0)
                     continue
+                t = normal(t)
                 pieces = [t] if len(t) <= piece_bytes else [t[i : i + piece_bytes] for i in range(0, len(t), piece_bytes)]
                 total = sorted((sum(len(f(p)) for p in pieces), k) for k, f in enumerate(tools))
                 langs.append(names[total[0][1]])
