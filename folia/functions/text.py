@@ -61,7 +61,7 @@ def clean_type(c: Column | str) -> Column:
 def split_any(c: Column | str, marks: Iterable[str]) -> Column:
     """Split on any of the marks, trim, drop empties."""
     pattern = "|".join("\\Q" + m + "\\E" for m in marks)
-    return F.filter(F.transform(F.split(col(c), pattern), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(col(c), pattern), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def fix_hyphens(c: Column | str) -> Column:
