@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
@@ -28,7 +29,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p
 _SPLIT = regex.compile(PATTERN)
 _SPACED = re.compile(r" \s")
 #: Units kept in a worker; beyond that the memory is emptied, which costs time only.
-MEMORY = 400_000
+MEMORY = 700_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -59,62 +60,113 @@ class Vocabulary:
             x, y = vocab[a], vocab[b]
             self.rank[x << 20 | y] = len(self.merges)
             self.merges.append((x, y, vocab[a + b]))
+        self.single_ids = np.array(self.single, np.int32)
+        self.first_rank = np.full((256, 256), -1, np.int32)
+        byte_of = {i: c for c, i in enumerate(self.single)}
+        for r, (x, y, _) in enumerate(self.merges):
+            if x in byte_of and y in byte_of:
+                self.first_rank[byte_of[x], byte_of[y]] = r
         self.cut = re.compile("(" + "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
 
-    def encode_units(self, units: list[bytes]) -> list[list[int]]:
-        """Ids of each unit, by the pair occurrence index over all of them."""
-        single, rank, merges = self.single, self.rank, self.merges
-        sym: list[int] = []
-        bounds = [0]
-        for u in units:
-            sym += [single[c] for c in u]
-            bounds.append(len(sym))
-        n = len(sym)
-        nxt = list(range(1, n + 1))
-        prv = list(range(-1, n - 1))
-        for e in bounds[1:]:
-            if e:
-                nxt[e - 1] = -1
-            if e < n:
-                prv[e] = -1
-        where: dict[int, list[int]] = {}
-        get = rank.get
-        for i in range(n - 1):
-            if nxt[i] >= 0 and (r := get(sym[i] << 20 | sym[i + 1])) is not None:
-                if r in where:
-                    where[r].append(i)
-                else:
-                    where[r] = [i]
-        active = list(where)
+    def encode_units(self, units: list[bytes]) -> list[bytes]:
+        """Little-endian 32-bit ids of each unit, by the pair occurrence index over all of them.
+
+        where: for each active rank the positions of its pair, as arrays and as single numbers. A rank with many positions
+        is applied to all at once, one with few position by position; both work on the same memory."""
+        raw = np.frombuffer(b"".join(units), np.uint8)
+        n = len(raw)
+        size = np.fromiter(map(len, units), np.int64, len(units))
+        end = np.cumsum(size)
+        s_ = array("i", self.single_ids[raw].tobytes())
+        n_, p_ = array("i", np.arange(1, n + 1, dtype=np.int32).tobytes()), array("i", np.arange(-1, n - 1, dtype=np.int32).tobytes())
+        sym, nxt, prv = (np.frombuffer(x, np.int32) if n else np.zeros(0, np.int32) for x in (s_, n_, p_))
+        stop = end[size > 0]
+        nxt[stop - 1] = -1
+        prv[stop[stop < n]] = -1
+        merges, get = self.merges, self.rank.get
+        many: dict[int, list[np.ndarray]] = {}
+        few: dict[int, list[int]] = {}
+        if n > 1:
+            first = self.first_rank[raw[:-1], raw[1:]]
+            first[nxt[:-1] < 0] = -1
+            spots = np.flatnonzero(first >= 0)
+            ranks = first[spots]
+            order = np.argsort(ranks, kind="stable")
+            spots, ranks = spots[order], ranks[order]
+            cut = np.flatnonzero(np.diff(ranks)) + 1
+            for r, x in zip(ranks[np.concatenate(([0], cut))].tolist() if len(ranks) else [], np.split(spots, cut)):
+                many[r] = [x]
+        active = list(many)
         heapify(active)
+
+        def note(r: int, x: np.ndarray) -> None:
+            if r in many:
+                many[r].append(x)
+            else:
+                many[r] = [x]
+                if r not in few:
+                    heappush(active, r)
+
         while active:
             r = heappop(active)
             a, b, made = merges[r]
-            spots = where.pop(r)
+            arrays, single = many.pop(r, []), few.pop(r, [])
+            if a != b and sum(map(len, arrays)) + len(single) >= 40:
+                i = np.concatenate([*arrays, np.array(single, np.int64)])
+                j = nxt[i]
+                ok = (sym[i] == a) & (j >= 0)
+                i, j = i[ok], j[ok]
+                ok = sym[j] == b
+                i, j = i[ok], j[ok]
+                k = nxt[j]
+                sym[i], sym[j], nxt[i] = made, -1, k
+                inner = k >= 0
+                prv[k[inner]] = i[inner]
+                p = prv[i]
+                left = p >= 0
+                left[left] = sym[p[left]] != made  # such a pair is noted from its left end
+                key = np.concatenate((made << 20 | sym[k[inner]].astype(np.int64), sym[p[left]].astype(np.int64) << 20 | made))
+                at = np.concatenate((i[inner], p[left]))
+                if len(key):
+                    order = np.argsort(key, kind="stable")
+                    key, at = key[order], at[order]
+                    cut = np.flatnonzero(np.diff(key)) + 1
+                    starts = [0, *cut.tolist(), len(key)]
+                    for q, lo, hi in zip(key[starts[:-1]].tolist(), starts, starts[1:]):
+                        if (q := get(q)) is not None:
+                            note(q, at[lo:hi])
+                continue
+            for x in arrays:
+                single += x.tolist()
             if a == b:
-                spots.sort()
-            for i in spots:
-                if sym[i] != a or (j := nxt[i]) < 0 or sym[j] != b:
+                single.sort()
+            for i in single:
+                if s_[i] != a or (j := n_[i]) < 0 or s_[j] != b:
                     continue
-                sym[i] = made
-                sym[j] = -1
-                k = nxt[i] = nxt[j]
+                s_[i] = made
+                s_[j] = -1
+                k = n_[i] = n_[j]
                 if k >= 0:
-                    prv[k] = i
-                    if (q := get(made << 20 | sym[k])) is not None:
-                        if q in where:
-                            where[q].append(i)
+                    p_[k] = i
+                    if (q := get(made << 20 | s_[k])) is not None:
+                        if q in few:
+                            few[q].append(i)
                         else:
-                            where[q] = [i]
-                            heappush(active, q)
-                p = prv[i]
-                if p >= 0 and (q := get(sym[p] << 20 | made)) is not None:
-                    if q in where:
-                        where[q].append(p)
+                            few[q] = [i]
+                            if q not in many:
+                                heappush(active, q)
+                p = p_[i]
+                if p >= 0 and (q := get(s_[p] << 20 | made)) is not None:
+                    if q in few:
+                        few[q].append(p)
                     else:
-                        where[q] = [p]
-                        heappush(active, q)
-        return [[s for s in sym[lo:hi] if s >= 0] for lo, hi in zip(bounds, bounds[1:])]
+                        few[q] = [p]
+                        if q not in many:
+                            heappush(active, q)
+        left = sym >= 0
+        ids = sym[left].astype("<u4").tobytes()
+        to = (4 * np.concatenate(([0], np.cumsum(left)))[np.concatenate(([0], end))]).tolist()
+        return [ids[lo:hi] for lo, hi in zip(to, to[1:])]
 
 
 class Encoder:
@@ -124,14 +176,26 @@ class Encoder:
         self.v = vocabulary
         self.plain: dict[str, bytes] = {}  # a unit at the start of a text, or a pre-token
         self.spaced: dict[str, bytes] = {}  # a unit after one space
-        self.bytes_of = [self.v.pieces.get(i, b"") for i in range(max(self.v.pieces) + 1)]
+        known = [self.v.pieces.get(i, b"") for i in range(max(self.v.pieces) + 1)]
+        self.piece_size = np.array([len(x) for x in known], np.int64)
+        self.piece_start = np.cumsum(self.piece_size) - self.piece_size
+        self.piece_bytes = np.frombuffer(b"".join(known), np.uint8)
 
     def _learn(self, plain: set[str], spaced: set[str]) -> None:
-        split = {(0, u): _SPLIT.findall(u) for u in plain} | {(1, u): _SPLIT.findall(" " + u) for u in spaced}
-        tokens = list({t for x in split.values() for t in x})
-        ids = dict(zip(tokens, (np.array(x, "<u4").tobytes() for x in self.v.encode_units([t.encode() for t in tokens]))))
-        for (after, u), x in split.items():
-            (self.spaced if after else self.plain)[u] = b"".join([ids[t] for t in x])
+        """Encode units; a unit of letters alone is one pre-token, others are cut, and their pre-tokens are units too."""
+        cut = [(0, u, [u] if u.isalpha() else _SPLIT.findall(u)) for u in plain] + [(1, u, [" " + u] if u.isalpha() else _SPLIT.findall(" " + u)) for u in spaced]
+        new = []
+        for t in dict.fromkeys([t for _, _, x in cut for t in x]):
+            if not (t[1:] in self.spaced if len(t) > 1 and t[0] == " " else t in self.plain):
+                new.append(t)
+        for t, ids in zip(new, self.v.encode_units([t.encode() for t in new])):
+            if len(t) > 1 and t[0] == " ":
+                self.spaced[t[1:]] = ids
+            else:
+                self.plain[t] = ids
+        for after, u, x in cut:
+            if u not in (self.spaced if after else self.plain):
+                (self.spaced if after else self.plain)[u] = b"".join([self.spaced[t[1:]] if len(t) > 1 and t[0] == " " else self.plain[t] for t in x])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.plain) + len(self.spaced) > MEMORY:
@@ -168,8 +232,23 @@ class Encoder:
                 done.append(self.plain[units[0]] + b"".join(map(self.spaced.__getitem__, units[1:])))
         return [b"".join(p if isinstance(p, bytes) else done[p] for p in parts) for parts in shape]
 
-    def decode(self, ids: bytes) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+    def decode_all(self, ids: list[bytes]) -> list[bytes]:
+        """Texts of id strings in UTF-8, all gathered from the vocabulary's bytes at once; what is not UTF-8 becomes U+FFFD."""
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        size = self.piece_size[flat]
+        end = np.cumsum(size)
+        data = self.piece_bytes[np.repeat(self.piece_start[flat] - (end - size), size) + np.arange(int(end[-1]) if len(end) else 0)].tobytes()
+        last = np.cumsum(np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids)))
+        to = np.concatenate(([0], end))[np.concatenate(([0], last))].tolist()
+        out = []
+        for lo, hi in zip(to, to[1:]):
+            x = data[lo:hi]
+            try:
+                x.decode()
+            except UnicodeDecodeError:
+                x = x.decode("utf-8", "replace").encode()
+            out.append(x)
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
@@ -195,18 +274,18 @@ def encode_decode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(vocab_path)
-        for b in slices(batches, "_text"):
+        for b in slices(batches, "_text", 8 << 20):
             ids = tool.encode(b.column("_text").to_pylist())
-            texts = [tool.decode(x) for x in ids]
+            texts = tool.decode_all(ids)
             cols = [
                 *(b.column(k) for k in keep),
                 pa.array([len(x) // 4 for x in ids], pa.int64()),
                 pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
-                pa.array([hashlib.sha256(x.encode()).hexdigest() for x in texts], pa.string()),
+                pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string()),
             ]
             names = [*keep, "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
-                cols += [pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in ids], pa.list_(pa.int32())), pa.array(texts, pa.string())]
+                cols += [pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in ids], pa.list_(pa.int32())), pa.array(texts, pa.binary()).cast(pa.string())]
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
