@@ -150,8 +150,9 @@ def dedup_passages(docs: DataFrame, window: int = 20, text_col: str = "text", id
     if short < 2:
         raise ValueError(f"window has to be at least {PERIOD + 1} words")
     before, after = PERIOD - 1, window
-    n_hash = buckets(spark)
-    n_doc = next(k for k in range(n_hash, 2 * n_hash + 2) if all(k % d for d in range(2, int(k**0.5) + 1)))  # a prime, for ids in steps
+    # a message goes from each group to each bucket at most, so both counts stay near the number of partitions
+    n_hash = buckets(spark, 1)
+    n_doc = next(k for k in range(2 * n_hash, 4 * n_hash + 2) if all(k % d for d in range(2, int(k**0.5) + 1)))  # a prime, for ids in steps
     last = (1 << 63) - 1
     frame = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(last)).alias("doc"), F.col(text_col).cast("string").alias("text"))
 
