@@ -95,9 +95,9 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), mos
 
 def mix_sources(
     docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3.0, seed: int = 7,
-    text_col: str = "text", id_col: str = "doc_id", source_col: str = "source",
+    text_col: str = "text", id_col: str = "doc_id", source_col: str = "source", row_col: str | None = None,
 ) -> DataFrame:
-    """(doc_id, text_hash, size, source_size, target, copies, taken) for every row.
+    """(doc_id, text_hash, size, source_size, target, copies, taken, row) for every row; row is row_col, or a number given here.
 
     size: words of the text (null: 0); taken = copies * size; no row has more than ceil(target /
     source_size) copies, so at most `most`. Draws depend on doc_id, text and seed alone, so reruns agree.
@@ -110,7 +110,7 @@ def mix_sources(
         F.col(source_col).cast("string").alias("source"),
         F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.xxhash64(text_col).alias("text_hash"),
-        F.monotonically_increasing_id().alias("row"),
+        (F.col(row_col).cast("long") if row_col else F.monotonically_increasing_id()).alias("row"),
     )
     t = written(t)
     targets = source_targets(t, weights, most)

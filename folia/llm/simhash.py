@@ -69,18 +69,20 @@ def _fingerprints(texts: list[bytes | None], width: int) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, width: int = 4, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, fp long): a bit is 1 where over half the shingle hashes have it.
+def fingerprints(docs: DataFrame, width: int = 4, text_col: str = "text", id_col: str = "doc_id", row_col: str | None = None) -> DataFrame:
+    """(doc_id, fp long [, row long]): a bit is 1 where over half the shingle hashes have it.
 
     No words: zero. Fewer words than `width`: the whole sequence is the one shingle."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 2 << 20):
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(_fingerprints(raw(b, "text"), width).view(np.int64))], names=["doc_id", "fp"])
+            fp = pa.array(_fingerprints(raw(b, "text"), width).view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), fp, *(b.column(c) for c in rows)], names=["doc_id", "fp", *rows])
 
-    frame = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return frame.mapInArrow(run, "doc_id long, fp long")
+    rows = ["row"] if row_col else []
+    frame = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *[F.col(row_col).cast("long").alias("row") for _ in rows])
+    return frame.mapInArrow(run, "doc_id long, fp long" + ", row long" * len(rows))
 
 
 def _patterns(bits: int, radius: int) -> list[np.ndarray]:
@@ -192,17 +194,17 @@ def link_fingerprints(distinct: DataFrame, limit: int = 4) -> DataFrame:
     return distinct.select("fp").mapInArrow(spread, "bucket int, blob binary").groupBy("bucket").applyInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, limit: int = 4, width: int = 4, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, fp, component_id): component_id is the smallest doc_id that can be reached.
+def near_duplicates(docs: DataFrame, limit: int = 4, width: int = 4, text_col: str = "text", id_col: str = "doc_id", row_col: str | None = None) -> DataFrame:
+    """(doc_id, fp, component_id, root [, row]): component_id is the smallest doc_id that can be reached, root a fingerprint that names the component.
 
     Equal fingerprints are one node, so groups of copies cost one row. Rows that
     repeat a doc_id give a row each, in the component of their own text; a null doc_id belongs to a component
     but never names one unless all its ids are null. Texts without words share fingerprint zero and are
     linked like any other. Other columns are ignored."""
-    prints = written(fingerprints(docs, width, text_col, id_col))
+    prints = written(fingerprints(docs, width, text_col, id_col, row_col))
     nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(link_fingerprints(nodes, limit)).toDF("fp", "root")
     small = roots.join(nodes, "fp").groupBy("root").agg(F.min("least").alias("component"))
-    named = roots.join(small, "root").select("fp", "component")
-    label = nodes.join(named, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"))
-    return prints.join(label, "fp").select("doc_id", "fp", "component_id")
+    named = roots.join(small, "root").select("fp", "component", "root")
+    label = nodes.join(named, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"), F.coalesce("root", "fp").alias("root"))
+    return prints.join(label, "fp").select("doc_id", "fp", "component_id", "root", *(["row"] if row_col else []))

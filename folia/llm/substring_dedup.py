@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folia.llm.common import buckets, covered, gather, mix, pack, raw, slices, written
 from folia.session import ship
@@ -136,8 +137,8 @@ MESSAGES = "bucket int, kind int, blob binary"
 COMPARE, SETTLED, EXTEND, REPEAT = range(4)
 
 
-def dedup_passages(docs: DataFrame, window: int = 20, text_col: str = "text", id_col: str = "doc_id", keep_text: bool = True) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_sha256 [, kept_text]) for every text.
+def dedup_passages(docs: DataFrame, window: int = 20, text_col: str = "text", id_col: str = "doc_id", keep_text: bool = True, carry: list[str] | None = None) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept_sha256 [, kept_text] [, columns to carry]) for every text.
 
     A word goes if a window of words that covers it starts earlier too: in a smaller
     doc_id or earlier in the same text, judged on the input. kept_text: the other
@@ -154,7 +155,11 @@ def dedup_passages(docs: DataFrame, window: int = 20, text_col: str = "text", id
     n_hash = buckets(spark, 1)
     n_doc = next(k for k in range(2 * n_hash, 4 * n_hash + 2) if all(k % d for d in range(2, int(k**0.5) + 1)))  # a prime, for ids in steps
     last = (1 << 63) - 1
-    frame = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(last)).alias("doc"), F.col(text_col).cast("string").alias("text"))
+    key = (F.coalesce(F.col(id_col).cast("long"), F.lit(last)).alias("doc"), F.col(text_col).cast("string").alias("text"))
+    frame = docs.select(*key)
+    # carried columns take numbers for names, so that none clashes
+    carry = carry or []
+    full = docs.select(*key, *[F.col(c).alias(f"_{k}") for k, c in enumerate(carry)])
 
     def fold(entry: dict[str, np.ndarray], key: list[str]) -> tuple[dict, dict]:
         """Entries that are the first of their key, and the others."""
@@ -270,7 +275,7 @@ def dedup_passages(docs: DataFrame, window: int = 20, text_col: str = "text", id
         cols = {"doc": texts.column("doc"), "n_words": t.n, "n_removed": np.array(removed, np.int64), "kept_sha256": [hashlib.sha256(x).hexdigest() for x in kept]}
         if keep_text:
             cols["kept_text"] = pa.array(kept, pa.binary()).cast(pa.string())
-        return pa.table(cols)
+        return pa.table(cols | {f"_{k}": texts.column(f"_{k}") for k in range(len(carry))})
 
     def dealt(df: DataFrame) -> DataFrame:
         return df.withColumn("bucket", F.pmod("doc", F.lit(n_doc)).cast("int"))
@@ -282,7 +287,10 @@ def dedup_passages(docs: DataFrame, window: int = 20, text_col: str = "text", id
     extended = written(texts.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(extend, MESSAGES), "lz4")
     again = extended.where(f"kind = {COMPARE}").groupBy("bucket").applyInArrow(compare_windows, MESSAGES)
     verdicts = known.where(f"kind = {SETTLED}").union(extended.where(f"kind = {REPEAT}")).union(again)
-    schema = "doc long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * keep_text
-    out = texts.groupBy("bucket").cogroup(verdicts.groupBy("bucket")).applyInArrow(finish, schema)
+    schema = T.StructType().add("doc", "long").add("n_words", "long").add("n_removed", "long").add("kept_sha256", "string")
+    schema = schema.add("kept_text", "string") if keep_text else schema
+    for k in range(len(carry)):
+        schema = schema.add(f"_{k}", full.schema[f"_{k}"].dataType)
+    out = dealt(full).groupBy("bucket").cogroup(verdicts.groupBy("bucket")).applyInArrow(finish, schema)
     names = ["n_words", "n_removed", "kept_sha256"] + ["kept_text"] * keep_text
-    return out.select(F.expr(f"nullif(doc, {last})").alias("doc_id"), *names)
+    return out.select(F.expr(f"nullif(doc, {last})").alias("doc_id"), *names, *[F.col(f"_{k}").alias(c) for k, c in enumerate(carry)])
