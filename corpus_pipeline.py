@@ -22,25 +22,36 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.withColumn("lang", F.col("lang_pred")).select(docs.columns)
 
 
+def rows_of(docs: DataFrame) -> DataFrame:
+    """docs with a row number: the same in each reading of a written table, so that ids may repeat or be null."""
+    return docs.withColumn("_row", F.monotonically_increasing_id())
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document that names it: the smallest doc_id."""
-    named = simhash.near_duplicates(docs)
-    firsts = named.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(firsts, "doc_id", "left_semi").select(docs.columns)
+    """One document of each group of near duplicates: that with the smallest doc_id, the first row of those that repeat it."""
+    rows = rows_of(docs)
+    named = simhash.near_duplicates(rows, row_col="_row")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
+    firsts = named.groupBy("root").agg(F.min(order)["row"].alias("_row")).select("_row")
+    return rows.join(firsts, "_row", "left_semi").select(docs.columns)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that start earlier too; texts that lose no word stay as they are, texts that lose all go."""
-    cut = substring_dedup.dedup_passages(docs).select("doc_id", "n_words", "n_removed", "kept_text")
-    out = docs.join(cut, "doc_id").where("n_removed = 0 or n_removed < n_words")
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    return out.withColumn("text", text).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    cut = substring_dedup.dedup_passages(docs.withColumnsRenamed({c: f"in_{c}" for c in docs.columns}), text_col="in_text", id_col="in_doc_id", carry=[f"in_{c}" for c in docs.columns])
+    out = cut.where("n_removed = 0 or n_removed < n_words")
+    lost = F.col("n_removed") > 0
+    made = {"text": F.when(lost, F.col("kept_text")).otherwise(F.col("in_text"))}
+    if "n_chars" in docs.columns:
+        made["n_chars"] = F.when(lost, F.length("kept_text")).otherwise(F.col("in_n_chars")).cast(docs.schema["n_chars"].dataType)
+    return out.select(*[made.get(c, F.col(f"in_{c}")).alias(c) for c in docs.columns])
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as many times as the mix takes it."""
-    took = mixing.mix_sources(docs).where("copies > 0").select("doc_id", "copies")
-    return docs.join(took, "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(docs.columns)
+    rows = rows_of(docs)
+    took = mixing.mix_sources(rows, row_col="_row").where("copies > 0").select(F.col("row").alias("_row"), "copies")
+    return rows.join(took, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
