@@ -35,7 +35,8 @@ def op4_indexed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition.quality_rules(table(spark, sf_dir, "documents")).drop("spans")
+    out = repetition.quality_rules(table(spark, sf_dir, "documents"))
+    return out.drop("spans", "longest_repeat").withColumn("covered_fraction", F.round("covered_fraction", 6))
 
 
 def op6_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +72,38 @@ _LETTERS = " || ".join(
     f"substr('{BASE32}', ((({_HEX.format(5 * k + 1)}) >> {s}) & 31) + 1, 1)" for k in range(8) for s in (15, 10, 5, 0)
 )
 
+_WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+_SYMBOLS = "len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]'))"
+
+
+def _repeated(n: int, name: str) -> str:
+    """Starts of the n-word windows that occur twice or more in their text."""
+    return f"""{name} AS (SELECT doc_id, s FROM (SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id, h) AS n
+        FROM (SELECT doc_id, s, hash(w[s:s+{n - 1}]) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - {n - 2})) AS s FROM d WHERE len(w) >= {n}))) WHERE n > 1)"""
+
+
+def _covered(n: int, name: str) -> str:
+    return f"(SELECT doc_id, count(DISTINCT s + i) AS {name} FROM {name}_, range({n}) t(i) GROUP BY 1)"
+
+
 ORACLE_SQL = {
+    "op5_suffix_repetition": f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
+        {_repeated(3, 'three_')}, {_repeated(8, 'eight_')}, {_repeated(61, 'long_')},
+        l AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')) > 0) AS l FROM d),
+        b AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, {_SYMBOLS}::BIGINT AS n_symbols,
+                     (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(three, 0)::BIGINT AS n_repeat_words, coalesce(eight, 0) / greatest(len(w), 1) AS share,
+                     doc_id IN (SELECT doc_id FROM long_) AS too_long
+              FROM d JOIN l USING (doc_id) LEFT JOIN {_covered(3, 'three')} USING (doc_id) LEFT JOIN {_covered(8, 'eight')} USING (doc_id)),
+        v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND share <= 0.3 AND NOT too_long AS kept, round(share, 6) AS covered_fraction FROM v""",
+    "op7_difference_cover": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        win AS (SELECT doc_id, s, row_number() OVER (PARTITION BY h ORDER BY doc_id, s) AS r FROM (SELECT doc_id, s, hash(w[s:s+19]) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d WHERE len(w) >= 20))),
+        gone AS (SELECT DISTINCT doc_id, s + i AS pos FROM win, range(20) t(i) WHERE r > 1),
+        x AS (SELECT doc_id, w, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
+        k AS (SELECT x.doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY pos) AS kept FROM x ANTI JOIN gone USING (doc_id, pos) GROUP BY 1)
+        SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n_kept, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)""",
     "op4_indexed_warc": f"""
         WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
         d AS (SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, sha1(payload) AS h FROM p),
