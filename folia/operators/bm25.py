@@ -28,7 +28,7 @@ def term_stats(post: DataFrame, n_docs: int) -> DataFrame:
 def search(docs: DataFrame, questions: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text", q_id: str = "item_id", q_text: str = "text") -> DataFrame:
     """(q_id, id, score, rank): the k best documents of each question; a repeated query term counts as often as it stands there.
 
-    Only terms of the questions leave the documents, so the shuffle follows the matches. Documents
+    Scores are rounded to 6 places, so that copies tie whatever the order of summation. Only terms of the questions leave the documents, so the shuffle follows the matches. Documents
     without any match have score 0 and fill up short lists, smallest id first."""
     asked = questions.select(F.col(q_id), F.explode(tokens(q_text)).alias("term")).groupBy(q_id, "term").agg(F.count("*").alias("qtf"))
     terms = asked.select("term").distinct()
@@ -40,7 +40,7 @@ def search(docs: DataFrame, questions: DataFrame, k: int, id_col: str = "doc_id"
     part = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / avgdl))
     scored = (
         asked.join(idf, "term").join(tf.select("term", id_col, part.alias("w")), "term")
-        .groupBy(q_id, id_col).agg(F.sum(F.col("qtf") * F.col("idf") * F.col("w")).alias("score"))
+        .groupBy(q_id, id_col).agg(F.round(F.sum(F.col("qtf") * F.col("idf") * F.col("w")), 6).alias("score"))
     )
     # as many of the smallest ids as could be needed when the first k all match
     spare = [r[0] for r in docs.select(id_col).orderBy(id_col).limit(2 * k).collect()]

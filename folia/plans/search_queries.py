@@ -15,7 +15,7 @@ _BM25 = f"""{_TOKENS},
     tf AS (SELECT term, doc_id, count(*) AS tf FROM t GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
     idf AS (SELECT term, df, ln((n - df + 0.5) / (df + 0.5) + 1) AS idf FROM df, n),
     q AS (SELECT item_id, unnest(list_filter(regexp_split_to_array(lower(text), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '')) AS term FROM benchmark),
-    s AS (SELECT item_id, doc_id, sum(idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avgdl))) AS score FROM q JOIN idf USING (term) JOIN tf USING (term) JOIN dl USING (doc_id), a GROUP BY ALL)"""
+    s AS (SELECT item_id, doc_id, round(sum(idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avgdl))), 6) AS score FROM q JOIN idf USING (term) JOIN tf USING (term) JOIN dl USING (doc_id), a GROUP BY ALL)"""
 
 
 @query(f"WITH {_BM25} SELECT item_id, doc_id, round(score, 6) AS score, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s) WHERE rank <= 5")
