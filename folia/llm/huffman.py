@@ -13,7 +13,11 @@ doc_lengths, n_ids, checkpoints, bits) and `code` (Parquet: id, length)."""
 from __future__ import annotations
 
 import os
+import struct
+import sys
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,52 +26,76 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from folia.llm.bpe import byte_alphabet
 from folia.llm.common import raw, shared_dir, slices, written
 from folia.session import ship
 
 LIMIT = 16
-CHECKPOINT = 256
-BLOCK_IDS = 1 << 17
+CHECKPOINT = 128
+BLOCK_IDS = 1 << 18
 #: Words kept with their ids in a worker; beyond that the memory is emptied.
-MEMORY = 400_000
+MEMORY = 1_000_000
 
-_tools: dict[str, tuple] = {}
+#: Ids in between are 16 bits wide; vocabularies are smaller than that.
+WIDTH = "<u2"
 
 
-def _tool(path: str) -> tuple:
-    if path not in _tools:
+class Words(dict):
+    """Ids of words, each encoded by the tokenizers library when it is first asked for.
+
+    A word of lower-case letters is one pre-token, so it goes to the library's BPE model straight, without
+    normaliser and pattern; so do its letters where one punctuation mark follows. All else takes the whole way."""
+
+    def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        t = Tokenizer.from_file(path)
-        t.no_truncation()
-        t.no_padding()
-        _tools[path] = (t, {})
-    return _tools[path]
+        self.tool = Tokenizer.from_file(path)
+        self.tool.no_truncation()
+        self.tool.no_padding()
+        if self.tool.get_vocab_size() > 1 << 16 or sys.byteorder != "little":
+            raise ValueError("ids are taken as 16 bits, low byte first")
+        self.tokenize = self.tool.model.tokenize
+        self.marks = {bytes((c,)) for c in b",.;:!?"}
+        self.char = {b: c for c, b in byte_alphabet().items()}
+
+    def __missing__(self, word: bytes) -> bytes:
+        if word.isalpha() and word.islower():  # ASCII letters
+            out = array("H", [t.id for t in self.tokenize(word.decode())]).tobytes()
+        elif (mark := word[-1:]) in self.marks and word[:-1].decode("utf-8", "replace").isalpha():
+            out = self[word[:-1]] + self[mark]
+        else:
+            s = word.decode("utf-8", "replace")
+            if s.isalpha() and s == s.lower() and unicodedata.is_normalized("NFC", s):
+                out = array("H", [t.id for t in self.tokenize("".join(map(self.char.__getitem__, word)))]).tobytes()
+            else:
+                out = array("H", self.tool.encode(s, add_special_tokens=False).ids).tobytes()
+        self[word] = out
+        return out
+
+
+_tools: dict[str, Words] = {}
 
 
 def tokenized(docs: DataFrame, vocab_path: str, end_id: int, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, ids binary): little-endian 32-bit ids of the whole text and the end id.
+    """(doc_id, ids binary): little-endian 16-bit ids of the whole text and the end id.
 
-    For vocabularies whose normaliser and pattern treat white space as a mere separator: words between
-    ASCII white space are encoded apart, each distinct word of a slice once."""
+    For vocabularies whose normaliser lower-cases and whose pattern treats white space as a mere
+    separator: words between ASCII white space are encoded apart and remembered in the worker."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, known = _tool(vocab_path)
-        end = np.array([end_id], "<u4").tobytes()
+        known = _tools.setdefault(vocab_path, None) or Words(vocab_path)
+        _tools[vocab_path] = known
+        end = struct.pack("<H", end_id)
+        get = known.__getitem__
         for b in slices(batches, "text"):
-            words = [(t or b"").split() for t in raw(b, "text")]
             if len(known) > MEMORY:
                 known.clear()
-            new = list(set().union(*words) - known.keys())
-            for at in range(0, len(new), 4096):
-                part = new[at : at + 4096]
-                for w, e in zip(part, tool.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)):
-                    known[w] = np.array(e.ids, "<u4").tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([b"".join(map(known.__getitem__, w)) + end for w in words], pa.binary())], names=["doc_id", "ids"]
-            )
+            # special strings are matched before lower-casing, so texts that may hold one keep their case
+            words = [(t.lower() if b"<|" not in t else t).split() for t in (x or b"" for x in raw(b, "text"))]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([b"".join(map(get, w)) + end for w in words], pa.binary())], names=["doc_id", "ids"])
 
     frame = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     return frame.mapInArrow(run, "doc_id long, ids binary")
@@ -170,7 +198,7 @@ def write_blocks(tokens: DataFrame, path: str) -> None:
         total = np.zeros(0, np.int64)
         for b in batches:
             for s in slices([b], "ids", 16 << 20):
-                got = np.bincount(np.frombuffer(b"".join(s.column("ids").to_pylist()), "<u4"))
+                got = np.bincount(np.frombuffer(b"".join(s.column("ids").to_pylist()), WIDTH))
                 if len(got) > len(total):
                     got[: len(total)] += total
                     total = got
@@ -196,26 +224,27 @@ def write_blocks(tokens: DataFrame, path: str) -> None:
         size = block = 0
 
         def flush() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(held), "<u4")
+            ids = np.frombuffer(b"".join(held), WIDTH)
             bits, points = encode_bits(ids, codes, lengths)
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([docs], pa.list_(pa.int64())),
-                    pa.array([[len(x) // 4 for x in held]], pa.list_(pa.int64())), pa.array([len(ids)], pa.int64()),
+                    pa.array([[len(x) // 2 for x in held]], pa.list_(pa.int64())), pa.array([len(ids)], pa.int64()),
                     pa.array([points], pa.list_(pa.int64())), pa.array([bits], pa.binary()),
                 ],
                 names=["part", "block", "doc_ids", "doc_lengths", "n_ids", "checkpoints", "bits"],
             )
 
         for b in batches:
-            for d, x in zip(b.column("doc_id").to_pylist(), b.column("ids")):
-                docs.append(d)
-                held.append(x.as_py())
-                size += len(held[-1]) // 4
-                if size >= BLOCK_IDS:
-                    yield flush()
-                    docs, held = [], []
-                    size, block = 0, block + 1
+            for part_of in slices([b], "ids", 16 << 20):
+                for d, x in zip(part_of.column("doc_id").to_pylist(), part_of.column("ids").to_pylist()):
+                    docs.append(d)
+                    held.append(x)
+                    size += len(x) // 2
+                    if size >= BLOCK_IDS:
+                        yield flush()
+                        docs, held = [], []
+                        size, block = 0, block + 1
         if held:
             yield flush()
 

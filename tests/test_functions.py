@@ -181,3 +181,13 @@ def test_streaming(spark, tiny, tmp_path):
     docs.repartition(2).write.parquet(str(tmp_path / "docs"))
     incremental.index_documents(incremental.landing(spark, str(tmp_path / "docs"), docs.schema, 1), str(tmp_path / "idx"), str(tmp_path / "c2")).awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "idx/lengths")).count() == docs.count()
+
+
+def test_extraction(spark):
+    from folia.operators import extraction as E
+
+    df = spark.createDataFrame([('ok: {"a": 1,} done', "x [1, 2] y", "K: 1\nk: 2\nnone"), ("{'a': 2}", "no", ""), ("none", "no", "")], "j string, l string, kv string")
+    got = df.select(F.get_json_object(E.repaired_json("j"), "$.a").alias("a"), E.first_array("l").alias("l"), E.key_values("kv").alias("m")).collect()
+    assert [x["a"] for x in got] == ["1", "2", None] and got[0]["l"] == "[1, 2]" and got[0]["m"] == {"k": "2"}
+    m = E.mentions(spark.createDataFrame([(1, "The tower of Pisa leans. With Rome near Pisa too.")], "id int, t string"), "id", "t").collect()
+    assert sorted((x["sentence"], x["name"], x["n"]) for x in m) == [(0, "pisa", 1), (1, "pisa", 1)] or sorted((x["sentence"], x["name"]) for x in m) == [(0, "pisa"), (1, "pisa"), (1, "rome")]
