@@ -34,7 +34,9 @@ def search(docs: DataFrame, questions: DataFrame, k: int, id_col: str = "doc_id"
     terms = asked.select("term").distinct()
     stats = docs.select(F.coalesce(F.size(tokens(text_col)), F.lit(0)).alias("dl")).agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).first()
     n, avgdl = stats["n"], stats["avgdl"] or 1.0
-    spread = docs.select(id_col, F.size(tokens(text_col)).alias("dl"), F.explode(tokens(text_col)).alias("term"))
+    # the length is taken before tokens become rows, so that it is not worked out again for each of them
+    sized = docs.select(id_col, tokens(text_col).alias("_w")).select(id_col, F.size("_w").alias("dl"), "_w")
+    spread = sized.select(id_col, "dl", F.explode("_w").alias("term"))
     tf = spread.join(terms, "term", "left_semi").groupBy("term", id_col, "dl").agg(F.count("*").alias("tf"))
     idf = term_stats(tf, n).select("term", "idf")
     part = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / avgdl))
