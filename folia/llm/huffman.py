@@ -14,8 +14,10 @@ from __future__ import annotations
 
 import os
 import struct
+import sys
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,10 +31,10 @@ from folia.llm.common import raw, shared_dir, slices, written
 from folia.session import ship
 
 LIMIT = 16
-CHECKPOINT = 256
-BLOCK_IDS = 1 << 17
+CHECKPOINT = 128
+BLOCK_IDS = 1 << 18
 #: Words kept with their ids in a worker; beyond that the memory is emptied.
-MEMORY = 400_000
+MEMORY = 1_000_000
 
 #: Ids in between are 16 bits wide; vocabularies are smaller than that.
 WIDTH = "<u2"
@@ -52,21 +54,23 @@ class Words(dict):
         self.tool = Tokenizer.from_file(path)
         self.tool.no_truncation()
         self.tool.no_padding()
-        if self.tool.get_vocab_size() > 1 << 16:
-            raise ValueError("ids need 16 bits")
-        self.model = self.tool.model
+        if self.tool.get_vocab_size() > 1 << 16 or sys.byteorder != "little":
+            raise ValueError("ids are taken as 16 bits, low byte first")
+        self.tokenize = self.tool.model.tokenize
+        self.marks = {bytes((c,)) for c in b",.;:!?"}
         self.char = {b: c for c, b in byte_alphabet().items()}
 
     def __missing__(self, word: bytes) -> bytes:
-        s = word.decode("utf-8", "replace")
-        if word[-1:] in b",.;:!?" and s[:-1].isalpha():
-            out = self[word[:-1]] + self[word[-1:]]
+        if word.isalpha() and word.islower():  # ASCII letters
+            out = array("H", [t.id for t in self.tokenize(word.decode())]).tobytes()
+        elif (mark := word[-1:]) in self.marks and word[:-1].decode("utf-8", "replace").isalpha():
+            out = self[word[:-1]] + self[mark]
         else:
-            if s.isalpha() and s == s.lower() and (s.isascii() or unicodedata.is_normalized("NFC", s)):
-                ids = [t.id for t in self.model.tokenize(s if s.isascii() else "".join(map(self.char.__getitem__, word)))]
+            s = word.decode("utf-8", "replace")
+            if s.isalpha() and s == s.lower() and unicodedata.is_normalized("NFC", s):
+                out = array("H", [t.id for t in self.tokenize("".join(map(self.char.__getitem__, word)))]).tobytes()
             else:
-                ids = self.tool.encode(s, add_special_tokens=False).ids
-            out = struct.pack(f"<{len(ids)}H", *ids)
+                out = array("H", self.tool.encode(s, add_special_tokens=False).ids).tobytes()
         self[word] = out
         return out
 
@@ -232,14 +236,15 @@ def write_blocks(tokens: DataFrame, path: str) -> None:
             )
 
         for b in batches:
-            for d, x in zip(b.column("doc_id").to_pylist(), b.column("ids")):
-                docs.append(d)
-                held.append(x.as_py())
-                size += len(held[-1]) // 2
-                if size >= BLOCK_IDS:
-                    yield flush()
-                    docs, held = [], []
-                    size, block = 0, block + 1
+            for part_of in slices([b], "ids", 16 << 20):
+                for d, x in zip(part_of.column("doc_id").to_pylist(), part_of.column("ids").to_pylist()):
+                    docs.append(d)
+                    held.append(x)
+                    size += len(x) // 2
+                    if size >= BLOCK_IDS:
+                        yield flush()
+                        docs, held = [], []
+                        size, block = 0, block + 1
         if held:
             yield flush()
 
