@@ -79,7 +79,9 @@ _tools: dict[str, Words] = {}
 
 
 def tokenized(docs: DataFrame, vocab_path: str, end_id: int, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, ids binary): little-endian 16-bit ids of the whole text and the end id.
+    """(doc_id, ids binary, counts array): little-endian 16-bit ids of the whole text and the end id.
+
+    Besides the documents, each task gives one row with ids null and counts: how often each id stands in what it read.
 
     For vocabularies whose normaliser lower-cases and whose pattern treats white space as a mere
     separator: words between ASCII white space are encoded apart and remembered in the worker."""
@@ -90,15 +92,21 @@ def tokenized(docs: DataFrame, vocab_path: str, end_id: int, text_col: str = "te
         _tools[vocab_path] = known
         end = struct.pack("<H", end_id)
         get = known.__getitem__
+        total = np.zeros(1 << 16, np.int64)
         for b in slices(batches, "text"):
             if len(known) > MEMORY:
                 known.clear()
             # special strings are matched before lower-casing, so texts that may hold one keep their case
             words = [(t.lower() if b"<|" not in t else t).split() for t in (x or b"" for x in raw(b, "text"))]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([b"".join(map(get, w)) + end for w in words], pa.binary())], names=["doc_id", "ids"])
+            ids = [b"".join(map(get, w)) + end for w in words]
+            total += np.bincount(np.frombuffer(b"".join(ids), WIDTH), minlength=1 << 16)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.list_(pa.int64()))], names=["doc_id", "ids", "counts"])
+        if total.any():
+            last = total[: np.flatnonzero(total)[-1] + 1]
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([last], pa.list_(pa.int64()))], names=["doc_id", "ids", "counts"])
 
     frame = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return frame.mapInArrow(run, "doc_id long, ids binary")
+    return frame.mapInArrow(run, "doc_id long, ids binary, counts array<long>")
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -143,72 +151,66 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
     return codes
 
 
-def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each value of the next LIMIT bits the id and its length."""
+def decode_table(lengths: np.ndarray) -> np.ndarray:
+    """For each value of the next LIMIT bits id * 32 + length of the code that stands there."""
     codes = canonical_codes(lengths)
-    ids, lens = np.zeros(1 << LIMIT, np.uint32), np.zeros(1 << LIMIT, np.int64)
+    table = np.zeros(1 << LIMIT, np.uint32)
     for i in np.flatnonzero(lengths).tolist():
         n = int(lengths[i])
         lo = int(codes[i]) << (LIMIT - n)
-        ids[lo : lo + (1 << (LIMIT - n))] = i
-        lens[lo : lo + (1 << (LIMIT - n))] = n
-    return ids, lens
-
-
-def encode_bits(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """The bit string of ids, and the bit offset of every CHECKPOINT-th id."""
-    size = lengths[ids]
-    end = np.cumsum(size)
-    at = end - size
-    word = codes[ids].astype(np.uint64) << (np.uint64(64) - size.astype(np.uint64) - (at & 31).astype(np.uint64))
-    cell = at >> 5
-    n = int(end[-1] + 31 >> 5) + 2 if len(ids) else 2
-    cells = np.zeros(n, np.uint64)
-    start = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))) if len(ids) else np.zeros(0, np.int64)
-    if len(ids):
+        table[lo : lo + (1 << (LIMIT - n))] = i * 32 + n
+    return table
+
+
+def encode_bits(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray, run: int = 1 << 14) -> tuple[bytes, np.ndarray]:
+    """The bit string of ids, and the bit offset of every CHECKPOINT-th id.
+
+    Codes are placed in cells of 32 bits, each in a 64-bit window over its cell and the next. Runs keep the arrays small."""
+    size8 = lengths.astype(np.uint8)
+    left = (codes.astype(np.uint64) << (np.uint64(64) - np.maximum(lengths, 1).astype(np.uint64))) if len(codes) else np.zeros(0, np.uint64)
+    cells = np.zeros(len(ids) // 2 + 4, np.uint64)
+    points, base = [], 0
+    for lo in range(0, len(ids), run):
+        part = ids[lo : lo + run]
+        size = size8[part]
+        end = np.cumsum(size, dtype=np.int64) + base
+        at = end - size
+        points.append(at[::CHECKPOINT])
+        word = left[part] >> (at & 31).astype(np.uint64)
+        cell = at >> 5
+        start = np.flatnonzero(cell[1:] != cell[:-1]) + 1
+        start = np.concatenate(([0], start))
         joined = np.bitwise_or.reduceat(word, start)
         mine = cell[start]
         cells[mine] |= joined >> np.uint64(32)
         cells[mine + 1] |= joined & np.uint64(0xFFFFFFFF)
-    total = int(end[-1]) if len(ids) else 0
-    return cells.astype(">u4").tobytes()[: -(-total // 8)], at[::CHECKPOINT]
+        base = int(end[-1])
+    return cells.astype(">u4").tobytes()[: -(-base // 8)], np.concatenate(points) if points else np.zeros(0, np.int64)
 
 
-def decode_bits(bits: bytes, n_ids: int, checkpoints: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+def decode_bits(bits: bytes, n_ids: int, checkpoints: np.ndarray, table: np.ndarray) -> np.ndarray:
     """All ids of a block; the stretches between checkpoints advance together."""
-    ids, lens = table
     u8 = np.frombuffer(bits + bytes(8), np.uint8).astype(np.uint32)
-    peek = (u8[:-3] << 24) | (u8[1:-2] << 16) | (u8[2:-1] << 8) | u8[3:]
+    peek = (u8[:-2] << 16) | (u8[1:-1] << 8) | u8[2:]
     at = np.array(checkpoints, np.int64)
-    out = np.zeros((len(at), CHECKPOINT), np.uint32)
+    out = np.zeros((CHECKPOINT, len(at)), np.uint32)
+    last = n_ids - (len(at) - 1) * CHECKPOINT
     for k in range(min(CHECKPOINT, n_ids)):
-        live = len(at) if k < n_ids - (len(at) - 1) * CHECKPOINT else len(at) - 1
+        live = len(at) if k < last else len(at) - 1
         pos = at[:live]
-        v = (peek[pos >> 3] >> (np.uint32(16) - (pos & 7).astype(np.uint32))) & np.uint32(0xFFFF)
-        out[:live, k] = ids[v]
-        at[:live] += lens[v]
-    return out.reshape(-1)[:n_ids]
+        v = table[(peek[pos >> 3] >> (8 - (pos & 7)).astype(np.uint32)) & 0xFFFF]
+        out[k, :live] = v
+        pos += v & 31
+    return (out >> 5).T.reshape(-1)[:n_ids]
 
 
 def write_blocks(tokens: DataFrame, path: str) -> None:
-    """Write (doc_id, ids) as Huffman blocks, in ascending doc_id order; null ids first, equal ids by their tokens."""
+    """Write documents of tokenized() as Huffman blocks, in ascending doc_id order; null ids first, equal ids by their tokens."""
     spark = tokens.sparkSession
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for b in batches:
-            for s in slices([b], "ids", 16 << 20):
-                got = np.bincount(np.frombuffer(b"".join(s.column("ids").to_pylist()), WIDTH))
-                if len(got) > len(total):
-                    got[: len(total)] += total
-                    total = got
-                else:
-                    total[: len(got)] += got
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], names=["id", "n"])
-
     # bounded by the vocabulary, not by the corpus
-    got = tokens.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    parts_of = tokens.where("ids is null").select(F.posexplode("counts").alias("id", "n")).where("n > 0")
+    got = parts_of.groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max([r["id"] for r in got], default=0) + 1, np.int64)
     for r in got:
         counts[r["id"]] = r["n"]
@@ -249,7 +251,7 @@ def write_blocks(tokens: DataFrame, path: str) -> None:
             yield flush()
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = tokens.withColumn("tie", F.xxhash64("ids")).repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "ids")
+    ordered = tokens.where("ids is not null").withColumn("tie", F.xxhash64("ids")).repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "ids")
     schema = "part int, block int, doc_ids array<long>, doc_lengths array<long>, n_ids long, checkpoints array<long>, bits binary"
     ordered.mapInArrow(encode, schema).write.option("compression", "none").parquet(f"{path}/blocks")
 
