@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folia.llm import bpe, langid, mixing, simhash, substring_dedup
+from folia.llm import bpe, jaccard, langid, mixing, substring_dedup
 from folia.llm.common import written
 from folia.llm.queries import BYTE_BPE
 from folia.session import ship, table
@@ -28,9 +28,9 @@ def rows_of(docs: DataFrame) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the smallest doc_id, the first row of those that repeat it."""
+    """One document of each group linked by a Jaccard similarity of five-word shingles of 0.8 or more: that with the smallest doc_id, the first row of those that repeat it."""
     rows = rows_of(docs)
-    named = simhash.near_duplicates(rows, row_col="_row")
+    named = jaccard.near_duplicates(rows, row_col="_row")
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
     firsts = named.groupBy("root").agg(F.min(order)["row"].alias("_row")).select("_row")
     return rows.join(firsts, "_row", "left_semi").select(docs.columns)
