@@ -7,7 +7,8 @@ into the `probes` buckets that lie nearest to it in every table, and all that
 it finds there is ranked by the exact cosine.
 
 Work is dealt by table and bucket. A crowded bucket is cut into chunks, and queries go to
-all its chunks; each chunk returns the best of each query only, and the chunks' best are merged."""
+all its chunks; each chunk returns the best of each query only, and the chunks' best are merged.
+Queries that find fewer rows than asked for are compared with all rows, in blocks."""
 
 from __future__ import annotations
 
@@ -22,6 +23,8 @@ from folia.llm.common import written
 from folia.session import ship
 
 CHUNK = 400
+#: Rows and queries of a block where all are compared.
+BLOCK = (4096, 512)
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -91,7 +94,7 @@ def nearest(
     vectors: DataFrame, k: int = 5, every: int = 50, tables: int = 10, hashes: int = 1, probes: int = 10, seed: int = 11,
     id_col: str = "vec_id", vector_col: str = "embedding",
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest rows found for each query, nearest first.
+    """(query_id, rank, vec_id, score): the k nearest rows found for each query, nearest first; all rows if there are fewer than k.
 
     Queries are rows whose id is divisible by `every`; all rows but the query's own are indexed.
     score is the cosine in double precision; ties go to the smaller id. Rows with a null id, or a vector
@@ -177,6 +180,16 @@ def nearest(
         return pa.table({"query_id": a[top], "vec_id": b[top], "score": s[top]})
 
     found = left.groupBy("t", "bucket", "chunk").cogroup(right.groupBy("t", "bucket", "chunk")).applyInArrow(compare, FOUND)
+    merged = written(found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")))
+    enough = merged.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= k).select(F.col("query_id").alias("id"))
+    short = written(queries.join(enough, "id", "left_anti").select("id", "v"))
+    if n_short := short.count():
+        n_rows, n_asked = (-(-n // b) for n, b in zip((base.count(), n_short), BLOCK))
+        block = lambda n: F.pmod(F.xxhash64("v"), F.lit(n)).cast("int")
+        every_block = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        rows_of = base.select(block(n_rows).alias("b"), every_block(n_asked).alias("q"), "v", "ids").groupBy("b", "q")
+        asked_of = short.select(every_block(n_rows).alias("b"), block(n_asked).alias("q"), "v", "id").groupBy("b", "q")
+        whole = rows_of.cogroup(asked_of).applyInArrow(compare, FOUND)
+        merged = merged.union(whole).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return merged.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
