@@ -27,6 +27,14 @@ def page_links(spark, d):
     return table(spark, d, "pages").select("page_id", F.regexp_count("html", F.lit("<li>")).cast("long").alias("n_items"), F.array_join(F.slice(links, 1, 3), " ").alias("links"))
 
 
+@query("""WITH l AS (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS l FROM pages)
+    SELECT page_id, unnest(l) AS link, generate_subscripts(l, 1) AS position FROM l""")
+def page_links_all(spark, d):
+    """Every link of each page, by position from 1; page_links has the first three alone."""
+    links = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), 1)
+    return table(spark, d, "pages").select("page_id", F.posexplode(links).alias("position", "link")).withColumn("position", F.col("position") + 1)
+
+
 @query()
 def html_grid(spark, d):
     """Grid, header rows and text of a table that each page's list items are laid into; tests hold the grid against cases by hand."""
