@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import permutations
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,9 +71,35 @@ def typed_score(kind: Column, gold: Column, predicted: Column) -> Column:
     )
 
 
+def assignment(m: np.ndarray) -> float:
+    """Greatest sum over a one-to-one choice of a column for each row; at least as many columns as rows. Shortest augmenting paths."""
+    n, w = m.shape
+    u, v, row_of = np.zeros(n + 1), np.zeros(w + 1), np.zeros(w + 1, int)
+    cost = np.zeros((n + 1, w + 1))
+    cost[1:, 1:] = -m
+    for i in range(1, n + 1):
+        row_of[0], at = i, 0
+        least, way, used = np.full(w + 1, np.inf), np.zeros(w + 1, int), np.zeros(w + 1, bool)
+        while row_of[at]:
+            used[at] = True
+            lack = cost[row_of[at]] - u[row_of[at]] - v
+            closer = ~used & (lack < least)
+            least[closer], way[closer] = lack[closer], at
+            nearest = int(np.where(used, np.inf, least).argmin())
+            step = least[nearest]
+            u[row_of[used]] += step
+            v[used] -= step
+            least[~used] -= step
+            at = nearest
+        while at:
+            row_of[at] = row_of[way[at]]
+            at = way[at]
+    return float(sum(m[row_of[j] - 1, j - 1] for j in range(1, w + 1) if row_of[j]))
+
+
 @F.pandas_udf(T.DoubleType())
 def aligned_f1(gold: pd.Series, predicted: pd.Series) -> pd.Series:
-    """Mean token F1 over the best one-to-one alignment of answer spans (exact to 7 spans, then greedy), over the longer list; 2 decimals."""
+    """Mean token F1 over the best one-to-one alignment of answer spans, over the longer list; 2 decimals."""
 
     def f1(a: str, b: str) -> float:
         x, y = set(a.lower().split()), set(b.lower().split())
@@ -90,15 +115,7 @@ def aligned_f1(gold: pd.Series, predicted: pd.Series) -> pd.Series:
         if len(g) > len(p):
             g, p = p, g
         m = [[f1(a, b) for b in p] for a in g]
-        if len(p) <= 7:
-            best = max(sum(m[i][j] for i, j in enumerate(q)) for q in permutations(range(len(p)), len(g)))
-        else:
-            best, used = 0.0, (set(), set())
-            for s, i, j in sorted(((m[i][j], i, j) for i in range(len(g)) for j in range(len(p))), reverse=True):
-                if i not in used[0] and j not in used[1]:
-                    best += s
-                    used[0].add(i)
-                    used[1].add(j)
+        best = assignment(np.array(m))
         return round(best / len(p), 2)
 
     return pd.Series([one(g, p) for g, p in zip(gold, predicted)])

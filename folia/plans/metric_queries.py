@@ -9,10 +9,10 @@ from folia.plans.registry import query
 from folia.session import table
 
 
-def pairs(spark, d):
-    """(conv_id, turn, gold, predicted): the first words of each turn and of the next."""
+def pairs(spark, d, whole=False):
+    """(conv_id, turn, gold, predicted): the first words of each turn and of the next, or all of them."""
     c = table(spark, d, "conversations")
-    head = lambda t, n: F.array_join(F.slice(F.split(F.regexp_replace(t, r"\s+", " "), " "), 1, n), " ")
+    head = lambda t, n: F.regexp_replace(t, r"\s+", " ") if whole else F.array_join(F.slice(F.split(F.regexp_replace(t, r"\s+", " "), " "), 1, n), " ")
     gold = c.select("conv_id", "turn", head(F.col("text"), 12).alias("gold"))
     nxt = c.select("conv_id", (F.col("turn") - 1).alias("turn"), head(F.col("text"), 10).alias("predicted"))
     return gold.join(nxt, ["conv_id", "turn"])
@@ -71,5 +71,5 @@ def metric_numbers(spark, d):
 @query()
 def metric_aligned_f1(spark, d):
     """List F1 under the best alignment of spans; tests hold it against small cases."""
-    p = pairs(spark, d).select("conv_id", "turn", F.split("gold", r"[,.]\s*").alias("g"), F.split("predicted", r"[,.]\s*").alias("p"))
+    p = pairs(spark, d, whole=True).select("conv_id", "turn", F.split("gold", r"[,.]\s*").alias("g"), F.split("predicted", r"[,.]\s*").alias("p"))
     return p.select("conv_id", "turn", metrics.aligned_f1("g", "p").alias("f1"))
