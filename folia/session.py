@@ -31,12 +31,21 @@ def build_session(app: str = "folia", cores: int | str = "*", partitions: int =
     )
 
 
+#: Spark's default and what is set in its place: batches between JVM and Python hold whole texts, so they stay short.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000")}
+
+
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package from the folder it was loaded from."""
+    """Let Python workers import this package from the folder it was loaded from; batches to them are kept short."""
+    for key, (usual, short) in BATCHES.items():
+        if spark.conf.get(key, usual) == usual:
+            spark.conf.set(key, short)
     env = spark.sparkContext.environment
     have = [p for p in (env.get("PYTHONPATH") or os.environ.get("PYTHONPATH", "")).split(os.pathsep) if p]
     if ROOT not in have:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *have])
+    # one pool for all memory of a worker, so that what a task frees can go back to the system
+    env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
