@@ -20,16 +20,25 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from folia.llm.common import slices
+from folia.llm.common import lean, slices
 from folia.session import ship
 
 #: Pre-token pattern of the vocabulary; white space as Unicode has it.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 _SPLIT = regex.compile(PATTERN)
 _SPACED = re.compile(r" \s")
-#: Units kept in a worker; beyond that the memory is emptied, which costs time only.
-MEMORY = 700_000
+#: One space between letters: a pre-token always begins there.
+_BETWEEN = regex.compile(r"(?<=\p{L}) (?=\p{L})")
+#: Bytes of units and their ids kept in a worker, as they lie in memory; beyond that they are forgotten, which costs time only.
+MEMORY = 48 << 20
+#: A unit costs about this much besides its own bytes and ids.
+UNIT = 230
+#: Bytes of text encoded at once, ids decoded at once, and characters of a long text cut at once.
+SLICE = 1 << 20
+IDS = 1 << 18
+LONG = 1 << 19
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -176,11 +185,16 @@ class Encoder:
         self.v = vocabulary
         self.plain: dict[str, bytes] = {}  # a unit at the start of a text, or a pre-token
         self.spaced: dict[str, bytes] = {}  # a unit after one space
+        self.held = 0
+        self.whole_words = not any(" " in s for s in vocabulary.special)
         known = [self.v.pieces.get(i, b"") for i in range(max(self.v.pieces) + 1)]
         self.piece_size = np.array([len(x) for x in known], np.int64)
         self.piece_start = np.cumsum(self.piece_size) - self.piece_size
         self.piece_bytes = np.frombuffer(b"".join(known), np.uint8)
 
+    def forget(self) -> None:
+        self.plain, self.spaced, self.held = {}, {}, 0
+
     def _learn(self, plain: set[str], spaced: set[str]) -> None:
         """Encode units; a unit of letters alone is one pre-token, others are cut, and their pre-tokens are units too."""
         cut = [(0, u, [u] if u.isalpha() else _SPLIT.findall(u)) for u in plain] + [(1, u, [" " + u] if u.isalpha() else _SPLIT.findall(" " + u)) for u in spaced]
@@ -193,13 +207,21 @@ class Encoder:
                 self.spaced[t[1:]] = ids
             else:
                 self.plain[t] = ids
+            self.held += len(t) + len(ids) + UNIT
         for after, u, x in cut:
             if u not in (self.spaced if after else self.plain):
                 (self.spaced if after else self.plain)[u] = b"".join([self.spaced[t[1:]] if len(t) > 1 and t[0] == " " else self.plain[t] for t in x])
+                self.held += 2 * len(u) + UNIT
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.plain) + len(self.spaced) > MEMORY:
-            self.plain, self.spaced = {}, {}
+        """Ids of each text. A long text is encoded in stretches that end where a pre-token ends."""
+        if self.whole_words and max(map(len, texts), default=0) > LONG:
+            return [b"".join(self._encode([s])[0] for s in _stretches(t)) if len(t) > LONG else self._encode([t])[0] for t in texts]
+        return self._encode(texts)
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        if self.held > MEMORY:
+            self.forget()
         jobs: list[tuple[str, list[str]]] = []
         shape: list[list] = []
         for t in texts:
@@ -233,13 +255,18 @@ class Encoder:
         return [b"".join(p if isinstance(p, bytes) else done[p] for p in parts) for parts in shape]
 
     def decode_all(self, ids: list[bytes]) -> list[bytes]:
-        """Texts of id strings in UTF-8, all gathered from the vocabulary's bytes at once; what is not UTF-8 becomes U+FFFD."""
+        """Texts of id strings in UTF-8, gathered from the vocabulary's bytes by runs of ids; what is not UTF-8 becomes U+FFFD."""
         flat = np.frombuffer(b"".join(ids), "<u4")
-        size = self.piece_size[flat]
-        end = np.cumsum(size)
-        data = self.piece_bytes[np.repeat(self.piece_start[flat] - (end - size), size) + np.arange(int(end[-1]) if len(end) else 0)].tobytes()
+        parts, ends = [], [np.zeros(1, np.int64)]
+        for at in range(0, len(flat), IDS):
+            run = flat[at : at + IDS]
+            size = self.piece_size[run]
+            end = np.cumsum(size)
+            parts.append(self.piece_bytes[np.repeat(self.piece_start[run] - (end - size), size) + np.arange(int(end[-1]))].tobytes())
+            ends.append(end + ends[-1][-1])
+        data = b"".join(parts)
         last = np.cumsum(np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids)))
-        to = np.concatenate(([0], end))[np.concatenate(([0], last))].tolist()
+        to = np.concatenate(ends)[np.concatenate(([0], last))].tolist()
         out = []
         for lo, hi in zip(to, to[1:]):
             x = data[lo:hi]
@@ -251,6 +278,18 @@ class Encoder:
         return out
 
 
+def _stretches(t: str) -> Iterator[str]:
+    """Parts of about LONG characters, each but the first from a single space between letters. Only for vocabularies whose special strings hold no space."""
+    lo = 0
+    while len(t) - lo > LONG:
+        m = _BETWEEN.search(t, lo + LONG)
+        if not m:
+            break
+        yield t[lo : m.start()]
+        lo = m.start()
+    yield t[lo:]
+
+
 _encoders: dict[str, Encoder] = {}
 
 
@@ -262,37 +301,44 @@ def encoder(path: str) -> Encoder:
 
 
 def encode_decode(
-    docs: DataFrame, vocab_path: str, text_col: str = "text", keep: list[str] | None = None, with_ids: bool = True
+    docs: DataFrame, vocab_path: str, text_col: str = "text", keep: list[str] | None = None, with_ids: bool = True, with_text: bool = False
 ) -> DataFrame:
     """Columns `keep` with n_tokens, ids_sha256, decoded_sha256 and, on demand, the ids and the decoded text.
 
     Every whole text is encoded (null: as an empty one) and its ids are decoded again. The
-    vocabulary file has to be at `vocab_path` on every machine. Rows are independent; an empty table gives an empty one."""
+    vocabulary file has to be at `vocab_path` on every machine. Rows are independent: ties and repeated rows give equal
+    results, an empty table gives an empty one. Texts of any length are taken whole, a long one in stretches of LONG characters. Columns not in `keep` are ignored; those in it
+    may have any name, but where the result has a column of that name too, both are there, the kept one first."""
     ship(docs.sparkSession)
     keep = keep or ["doc_id"]
-    frame = docs.select(*keep, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    made = ["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids + ["decoded"] * with_text
+    # kept columns take numbers for names, so that none clashes
+    frame = docs.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keep)], F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    names = [*(f"k{i}" for i in range(len(keep))), *(f"m{i}" for i in range(len(made)))]
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(vocab_path)
-        for b in slices(batches, "_text", 8 << 20):
-            ids = tool.encode(b.column("_text").to_pylist())
-            texts = tool.decode_all(ids)
-            cols = [
-                *(b.column(k) for k in keep),
-                pa.array([len(x) // 4 for x in ids], pa.int64()),
-                pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
-                pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string()),
-            ]
-            names = [*keep, "n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_ids:
-                cols += [pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in ids], pa.list_(pa.int32())), pa.array(texts, pa.binary()).cast(pa.string())]
-                names += ["ids", "decoded"]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
-
-    from pyspark.sql import types as T
-
-    schema = T.StructType([docs.schema[k] for k in keep])
-    schema = schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
-    if with_ids:
-        schema = schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
-    return frame.mapInArrow(run, schema)
+        try:
+            for b in slices(batches, "text", SLICE):
+                ids = tool.encode(b.column("text").to_pylist())
+                texts = tool.decode_all(ids)
+                cols = [
+                    *b.columns[: len(keep)],
+                    pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string()),
+                ]
+                if with_ids:
+                    ends = np.cumsum([0, *(len(x) // 4 for x in ids)])
+                    cols.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4"))))
+                if with_text:
+                    cols.append(pa.array(texts, pa.binary()).cast(pa.string()))
+                yield pa.RecordBatch.from_arrays(cols, names=names)
+        finally:
+            tool.forget()
+
+    kinds = [*(docs.schema[k].dataType for k in keep), T.LongType(), T.StringType(), T.StringType()]
+    kinds += [T.ArrayType(T.IntegerType())] * with_ids + [T.StringType()] * with_text
+    out = frame.mapInArrow(run, T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)]))
+    return out.toDF(*keep, *made)

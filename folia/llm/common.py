@@ -3,6 +3,8 @@ message blobs and connected components."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
@@ -63,6 +65,43 @@ def raw(b: pa.RecordBatch, column: str) -> list[bytes | None]:
     return b.column(column).cast(pa.binary()).to_pylist()
 
 
+def lean(run):
+    """A function over Arrow batches that gives memory back to the system when its task ends; workers are used again by later stages."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
+def lean_group(run):
+    """The same for a function over the Arrow tables of a group."""
+
+    def wrapped(*tables: pa.Table) -> pa.Table:
+        try:
+            return run(*tables)
+        finally:
+            give_back()
+
+    def one(table: pa.Table) -> pa.Table:
+        return wrapped(table)
+
+    def two(left: pa.Table, right: pa.Table) -> pa.Table:
+        return wrapped(left, right)
+
+    return one if run.__code__.co_argcount == 1 else two
+
+
+def give_back() -> None:
+    """Return freed memory of this worker to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def pack(**arrays: np.ndarray) -> bytes:
     """Equal-length integer arrays as one compressed blob, stored byte plane by byte plane."""
     parts = []

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folia.llm.bpe import byte_alphabet
-from folia.llm.common import raw, shared_dir, slices, written
+from folia.llm.common import lean, raw, shared_dir, slices, written
 from folia.session import ship
 
 LIMIT = 16
@@ -87,6 +87,7 @@ def tokenized(docs: DataFrame, vocab_path: str, end_id: int, text_col: str = "te
     separator: words between ASCII white space are encoded apart and remembered in the worker."""
     ship(docs.sparkSession)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _tools.setdefault(vocab_path, None) or Words(vocab_path)
         _tools[vocab_path] = known
@@ -219,6 +220,7 @@ def write_blocks(tokens: DataFrame, path: str) -> None:
     used = np.flatnonzero(lengths)
     spark.createDataFrame(pa.table({"id": pa.array(used, pa.int64()), "length": pa.array(lengths[used], pa.int64())})).coalesce(1).write.parquet(f"{path}/code")
 
+    @lean
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         docs: list = []
@@ -271,6 +273,7 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     starts = sizes.withColumn("inner", F.coalesce(F.sum("n_ids").over(in_part), F.lit(0))).join(heads, "part")
     starts = starts.select("part", "block", (F.col("head") + F.col("inner")).alias("start"))
 
+    @lean
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = decode_table(lengths)
         for b in batches:

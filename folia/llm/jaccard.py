@@ -1,16 +1,19 @@
-"""Near duplicates by the Jaccard similarity of word shingles, without a lost pair.
+"""Near duplicates by the Jaccard similarity of word shingles: SimHash first, then what it cannot see, without a lost pair.
 
-Two sets of similarity 4/5 share at least 4/5 of the larger one, so in any fixed order of all
-shingles they share one among the first n - ceil(4n/5) + 1 of each: its keys (prefix filtering). The order is
-by hash, with those shingles last that were keys of many sets, so that boilerplate seldom is a key. Sets meet by key,
-and every pair that meets is confirmed by its exact similarity; before that go the pairs whose bitmaps (the parity of the shingles
-that fall on a bit) differ in more bits than sets of that similarity have shingles apart. Where many sets meet in
-a key, they are compared together there, and the key gives a spanning forest of its links, not its pairs."""
+1. The fingerprints of the sets are linked by anchor-point covering (folia.llm.simhash). Its links are confirmed by their exact
+   similarity; they join most near copies, and in large groups by a few links each.
+2. A pair of similarity 4/5 may differ in more bits than a selective covering allows, so the rest is found by prefix filtering: two such sets share
+   at least 4/5 of the larger one, so in any fixed order of all shingles they share one among the first n - ceil(4n/5) + 1
+   of each: its keys. The order is by hash, with shingles that stand in many sets last, so that boilerplate seldom is
+   a key. Sets meet by key. Of the pairs that meet those go that step 1 has joined, and those whose bitmaps (the parity of the shingles that fall
+   on a bit) differ in more bits than sets of that similarity have shingles apart; the others are confirmed exactly. Where many sets
+   meet in a key, they are compared together there, and the key gives a spanning forest of its links, not its pairs.
+
+Sets are not stored: they are made from the texts where they are needed, and kept only for those that are compared."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +21,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folia.llm.common import buckets, components, gather, pack, raw, slices, written
+from folia.llm.common import buckets, components, gather, lean, lean_group, pack, raw, slices, written
+from folia.llm.simhash import fold, link_fingerprints, shingle_hashes
 from folia.session import ship
 
 #: Similarity from which texts are near duplicates, as a fraction.
@@ -26,41 +30,37 @@ LEAST = (4, 5)
 SEED = 42
 #: Sets that meet in one key: more are compared together.
 SMALL = 32
-#: Keys of more sets go to the end of the order.
-OFTEN = 4
 #: Bits of a set's bitmap.
 BITS = 1024
-#: How often that is done, and for how many shingles at most each time.
-ROUNDS = 2
+#: Shingles that go to the end of the order at most; it bounds what the driver gathers and changes cost, not results.
 COMMON = 1 << 17
 
 
-def _set(text: bytes | None, width: int) -> np.ndarray:
-    """Sorted distinct shingle hashes; fewer words than `width` are one shingle."""
-    w = (text or b"").lower().split()
-    if len(w) <= width:
-        pieces = [b" ".join(w)] if w else []
-    else:
-        flat = b" ".join(w)
-        size = np.fromiter(map(len, w), np.int64, len(w))
-        end = np.cumsum(size + 1) - 1
-        pieces = [flat[a:z] for a, z in zip((end - size)[: len(w) - width + 1].tolist(), end[width - 1 :].tolist())]
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, pieces, repeat(SEED)), np.uint64, len(pieces)))
-
+def describe(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, row, node, fp, n, bits) of (doc_id, row, text): node names the set of n shingles, fp is its text's fingerprint; texts without words have node 0.
 
-def shingle_sets(docs: DataFrame, width: int, text_col: str, id_col: str, row_col: str) -> DataFrame:
-    """(doc_id, row, node, bits, shingles): node names the set of shingles; texts without words have node 0."""
-    ship(docs.sparkSession)
+    Rows without bits give in node a shingle that several different sets of a slice hold, in n how many do."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 2 << 20):
-            sets = [_set(t, width).tobytes() for t in raw(b, "text")]
-            node = np.array([xxhash.xxh64_intdigest(s, SEED) if s else 0 for s in sets], np.uint64).view(np.int64)
-            bits = [np.packbits((np.bincount(np.frombuffer(s, np.uint64).astype(np.int64) & (BITS - 1), minlength=BITS) & 1).astype(np.uint8)).tobytes() for s in sets]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row"), pa.array(node), pa.array(bits, pa.binary()), pa.array(sets, pa.binary())], names=["doc_id", "row", "node", "bits", "shingles"])
+            hashes = [shingle_hashes(t, width) for t in raw(b, "text")]
+            sets = [np.unique(h) for h in hashes]
+            node = _names(sets)
+            bits = [np.packbits((np.bincount((s & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).astype(np.uint8)).tobytes() for s in sets]
+            size = np.fromiter(map(len, sets), np.int64, len(sets))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row"), pa.array(node.view(np.int64)), pa.array(fold(hashes).view(np.int64)), pa.array(size), pa.array(bits, pa.binary())], names=names)
+            shingle, times = np.unique(np.concatenate([sets[k] for k in np.unique(node, return_index=True)[1]]), return_counts=True)
+            shingle, times = shingle[times > 1].view(np.int64), times[times > 1].astype(np.int64)
+            none = pa.nulls(len(shingle), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, pa.array(shingle), none, pa.array(times), pa.nulls(len(shingle), pa.binary())], names=names)
+
+    names = ["doc_id", "row", "node", "fp", "n", "bits"]
+    return docs.mapInArrow(run, "doc_id long, row long, node long, fp long, n long, bits binary")
+
 
-    frame = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(row_col).cast("long").alias("row"), F.col(text_col).cast("string").alias("text"))
-    return frame.mapInArrow(run, "doc_id long, row long, node long, bits binary, shingles binary")
+def _names(sets: list[np.ndarray]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) if len(s) else 0 for s in sets], np.uint64)
 
 
 def keys(size: np.ndarray, flat: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,42 +125,100 @@ def forest(node: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
     return links
 
 
-def links(sets: DataFrame) -> DataFrame:
-    """(a, b): links between nodes of (node, bits, shingles), one row a node; all are of LEAST or more and enough to span every component."""
-    spark = sets.sparkSession
-    n = buckets(spark)
-
-    def spread(common: np.ndarray, bare: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for whole in batches:
-                for b in slices([whole], "shingles"):
-                    parts = [np.frombuffer(x, np.uint64) for x in b.column("shingles").to_pylist()]
-                    size = np.array([len(x) for x in parts], np.int64)
-                    who, key = keys(size, np.concatenate(parts), common)
-                    bucket = (((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(n)).astype(np.int32)
-                    order = np.argsort(bucket, kind="stable")
-                    bucket, key, who = bucket[order], key[order], who[order]
-                    node = b.column("node").to_numpy(zero_copy_only=False).view(np.uint64)[who]
-                    edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
-                    rows = [(int(bucket[lo]), pack(k=key[lo:hi]) if bare else pack(k=key[lo:hi], n=node[lo:hi], s=size[who[lo:hi]].astype(np.uint32))) for lo, hi in zip(edges, edges[1:]) if hi > lo]
-                    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "blob"])
-
-        return sets.select("node", "shingles").mapInArrow(run, "bucket int, blob binary").groupBy("bucket")
-
-    def count(t: pa.Table) -> pa.Table:
-        key, times = np.unique(gather(t.column("blob").to_pylist(), ("u8",))[0], return_counts=True)
-        return pa.table({"key": key[times > OFTEN].view(np.int64), "n": times[times > OFTEN].astype(np.int64)})
+def stored(docs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
+    """(node, shingles) of the texts of `rows` (node, row)."""
+
+    @lean
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text", 2 << 20):
+            sets = [np.unique(shingle_hashes(t, width)).tobytes() for t in raw(b, "text")]
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(sets, pa.binary())], names=["node", "shingles"])
+
+    return written(docs.join(rows, "row").select("node", "text").mapInArrow(run, "node long, shingles binary"))
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of LEAST or more; the set of a goes to its bucket once, that of b once for each pair."""
+
+    parts = buckets(pairs.sparkSession, 8)
+    bucket = F.pmod(F.xxhash64("a"), F.lit(parts)).cast("int").alias("bucket")
+
+    @lean_group
+    def check(own: pa.Table, others: pa.Table) -> pa.Table:
+        at = {k: np.frombuffer(x, np.uint64) for k, x in zip(own.column("a").to_pylist(), own.column("own").to_pylist())}
+        good = np.zeros(others.num_rows, bool)
+        for k, (a, y) in enumerate(zip(others.column("a").to_pylist(), (v.as_py() for c in others.column("other").chunks for v in c))):
+            x, y = at[a], np.frombuffer(y, np.uint64)
+            good[k] = _similar(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y))
+        return others.select(["a", "b"]).filter(pa.array(good))
+
+    asked = pairs.select("a").distinct().withColumnRenamed("a", "node")
+    left = sets.join(asked, "node", "left_semi").select(F.col("node").alias("a"), F.col("shingles").alias("own"))
+    right = pairs.join(sets.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("a"), F.col("b").alias("b"), F.col("shingles").alias("other"))
+    return left.select("a", "own", bucket).groupBy("bucket").cogroup(right.select("a", "b", "other", bucket).groupBy("bucket")).applyInArrow(check, "a long, b long")
+
+
+def meetings(docs: DataFrame, width: int, common: np.ndarray) -> DataFrame:
+    """(a, b, many): nodes a and b meet in a key of few; where many, a is such a key and b one of its nodes."""
+    n = buckets(docs.sparkSession)
 
+    @lean
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text", 2 << 20):
+            sets = [np.unique(shingle_hashes(t, width)) for t in raw(b, "text")]
+            node, first = np.unique(_names(sets), return_index=True)
+            sets = [sets[k] for k in first]
+            size = np.array([len(x) for x in sets], np.int64)
+            who, key = keys(size, np.concatenate(sets), common)
+            mixed = key * np.uint64(0x9E3779B97F4A7C15)
+            bucket = ((mixed >> np.uint64(33)) % np.uint64(n)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            # 32 bits of a key tell it apart within its bucket; where they do not, a pair more is compared
+            bucket, key, who = bucket[order], (mixed[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32), who[order]
+            edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
+            rows = [(int(bucket[lo]), pack(k=key[lo:hi], n=node[who[lo:hi]], s=size[who[lo:hi]].astype(np.uint32))) for lo, hi in zip(edges, edges[1:]) if hi > lo]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "blob"])
+
+    @lean_group
     def meet(t: pa.Table) -> pa.Table:
-        pairs, many = _meetings(*gather(t.column("blob").to_pylist(), ("u8", "u8", "u4")))
+        key, node, size = gather(t.column("blob").to_pylist(), ("u4", "u8", "u4"))
+        order = np.lexsort((node, key))
+        key, node, size = key[order], node[order], size[order]
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+        at = np.uint64(t.column("bucket")[0].as_py()) << np.uint64(32)
+        pairs, many = _meetings(key[fresh].astype(np.uint64) | at, node[fresh], size[fresh])
         both = np.concatenate((pairs, many)).view(np.int64)
         return pa.table({"a": np.ascontiguousarray(both[:, 0]), "b": np.ascontiguousarray(both[:, 1]), "many": np.arange(len(both)) >= len(pairs)})
 
-    common = np.zeros(0, np.uint64)
-    for _ in range(ROUNDS):
-        often = spread(common, True).applyInArrow(count, "key long, n long").orderBy(F.desc("n"), "key").limit(COMMON).select("key").collect()
-        common = np.union1d(common, np.array([r["key"] for r in often], np.int64).view(np.uint64))
-    met = written(spread(common, False).applyInArrow(meet, "a long, b long, many boolean"))
+    return written(docs.select("text").mapInArrow(spread, "bucket int, blob binary").groupBy("bucket").applyInArrow(meet, "a long, b long, many boolean"))
+
+
+def near_duplicates(docs: DataFrame, row_col: str, width: int = 5, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, row, root): root names the component of links of LEAST or more.
+
+    Texts of one set of shingles are one node, so groups of copies cost one row. Null texts and texts without words are one component.
+    row_col numbers the rows; ids may repeat or be null. Texts are taken whole. An empty table gives an empty one; other columns are ignored."""
+    spark = docs.sparkSession
+    ship(spark)
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(row_col).cast("long").alias("row"), F.col(text_col).cast("string").alias("text"))
+    info = written(describe(docs, width))
+    prints = info.where("bits is not null").select("doc_id", "row", "node")
+    nodes = written(info.where("bits is not null and node <> 0").groupBy("node").agg(F.min("row").alias("row"), F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("bits").alias("bits")))
+    # step 1: the fingerprints; of those that share one, each is held against the first
+    first = nodes.groupBy("fp").agg(F.min("node").alias("node"))
+    linked = link_fingerprints(first).join(first.toDF("a", "na"), "a").join(first.toDF("b", "nb"), "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
+    same = nodes.join(first.withColumnRenamed("node", "b"), "fp").where("node <> b").select(F.col("node").alias("a"), "b")
+    near = written(linked.union(same).distinct())
+    ends = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
+    sure = written(confirmed(near, stored(docs, nodes.join(ends, "node").select("node", "row"), width)))
+    joined = components(sure).toDF("node", "root")
+    # step 2: the keys
+    often = info.where("bits is null").groupBy("node").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "node").limit(COMMON).select("node").collect()
+    met = meetings(docs, width, np.unique(np.array([r["node"] for r in often], np.int64).view(np.uint64)))
+    maps = nodes.join(joined, "node", "left").select("node", "bits", "n", F.coalesce("root", "node").alias("root"))
+
+    @lean
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64).reshape(b.num_rows, -1) for c in ("xa", "xb"))
@@ -169,36 +227,16 @@ def links(sets: DataFrame) -> DataFrame:
             ok = (LEAST[0] + LEAST[1]) * apart <= (LEAST[1] - LEAST[0]) * n
             yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    maps = sets.select("node", "bits", (F.length("shingles") / 8).cast("long").alias("n"))
-    pairs = met.where("not many").select("a", "b").distinct().join(maps.toDF("a", "xa", "na"), "a").join(maps.toDF("b", "xb", "nb"), "b")
-    pairs = written(pairs.mapInArrow(differ, "a long, b long"))
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(met.where("many").select("b")).distinct()
-    some = written(sets.join(written(needed), "node", "left_semi").select("node", "shingles"))
-
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x, y = (b.column(c).to_pylist() for c in ("sa", "sb"))
-            ok = [_similar(len(np.intersect1d(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), assume_unique=True)), len(p) // 8, len(q) // 8) for p, q in zip(x, y)]
-            yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+    pairs = met.where("not many").select("a", "b").distinct().join(maps.toDF("a", "xa", "na", "ra"), "a").join(maps.toDF("b", "xb", "nb", "rb"), "b").where("ra <> rb")
+    pairs = written(pairs.select("a", "b", "xa", "na", "xb", "nb").mapInArrow(differ, "a long, b long"))
+    crowd = met.where("many").select(F.col("a").alias("key"), F.col("b").alias("node"))
+    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowd.select("node")).distinct()
+    some = stored(docs, nodes.join(needed, "node").select("node", "row"), width)
 
     def together(t: pa.Table) -> pa.Table:
         got = forest(t.column("node").to_numpy(), [np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()])
         return pa.table({"a": pa.array([g[0] for g in got], pa.int64()), "b": pa.array([g[1] for g in got], pa.int64())})
 
-    sided = pairs.join(some.toDF("a", "sa"), "a").join(some.toDF("b", "sb"), "b")
-    small = sided.select("a", "b", "sa", "sb").mapInArrow(confirm, "a long, b long")
-    crowd = met.where("many").select(F.col("a").alias("key"), F.col("b").alias("node")).join(some, "node")
-    return small.union(crowd.groupBy("key").applyInArrow(together, "a long, b long"))
-
-
-def near_duplicates(docs: DataFrame, row_col: str, width: int = 5, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, row, root): root names the component of links of LEAST or more.
-
-    Texts of one set of shingles are one node, so groups of copies cost one row. Texts without words are one component."""
-    sets = written(shingle_sets(docs, width, text_col, id_col, row_col))
-    prints = sets.select("doc_id", "row", "node")
-    again = prints.groupBy("node").agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1").select("node", "first")
-    copies = written(prints.join(again, "node").where("row <> first").select("row"))
-    single = sets.join(copies, "row", "left_anti").where("node <> 0").select("node", "bits", "shingles")
-    roots = components(links(single)).toDF("node", "root")
+    more = written(confirmed(pairs, some).union(crowd.join(some, "node").groupBy("key").applyInArrow(together, "a long, b long")))
+    roots = components(sure.union(more)).toDF("node", "root")
     return prints.join(roots, "node", "left").select("doc_id", "row", F.coalesce("root", "node").alias("root"))

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from folia.llm.common import covered, raw, slices
+from folia.llm.common import covered, lean, raw, slices
 from folia.session import ship
 
 SCHEMA = (
@@ -126,6 +126,7 @@ def quality_rules(
     ignored, an empty table gives an empty one."""
     ship(docs.sparkSession)
 
+    @lean
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         char = np.ones(256, bool)
         char[0x80:0xC0] = False

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folia.llm.common import buckets, components, gather, pack, raw, slices, written
+from folia.llm.common import buckets, components, gather, lean, lean_group, pack, raw, slices, written
 from folia.session import ship
 
 #: (first bit, bits) of the blocks.
@@ -28,32 +28,29 @@ CODE_BITS = 15
 SEED = 42
 
 
-def _fingerprints(texts: list[bytes | None], width: int) -> np.ndarray:
-    h = xxhash.xxh64_intdigest
-    hashes, counts = [], []
-    for t in texts:
-        w = (t or b"").lower().split()
-        n = len(w)
-        if n <= width:
-            one = [h(b" ".join(w), SEED)] if n else []
-            hashes.append(one)
-            counts.append(len(one))
-            continue
-        flat = b" ".join(w)
-        size = np.fromiter(map(len, w), np.int64, n)
-        end = np.cumsum(size + 1) - 1
-        start = (end - size)[: n - width + 1].tolist()
-        pieces = [flat[a:z] for a, z in zip(start, end[width - 1 :].tolist())]
-        hashes.append(map(h, pieces, repeat(SEED)))
-        counts.append(len(pieces))
-    n = np.array(counts, np.int64)
-    all_h = np.fromiter((x for y in hashes for x in y), np.uint64, int(n.sum()))
+def shingle_hashes(text: bytes | None, width: int) -> np.ndarray:
+    """XXH64 of each shingle of `width` words, repeats included; fewer words are one shingle, no words none."""
+    w = (text or b"").lower().split()
+    n = len(w)
+    flat = b" ".join(w)
+    if n <= width:
+        return np.array([xxhash.xxh64_intdigest(flat, SEED)] if n else [], np.uint64)
+    size = np.fromiter(map(len, w), np.int64, n)
+    end = np.cumsum(size + 1) - 1
+    pieces = [flat[a:z] for a, z in zip((end - size)[: n - width + 1].tolist(), end[width - 1 :].tolist())]
+    return np.fromiter(map(xxhash.xxh64_intdigest, pieces, repeat(SEED)), np.uint64, len(pieces))
+
+
+def fold(hashes: list[np.ndarray]) -> np.ndarray:
+    """The fingerprint of each array of hashes: a bit is 1 where over half of them have it."""
+    n = np.fromiter(map(len, hashes), np.int64, len(hashes))
     out = np.zeros(len(n), np.uint64)
     full = np.flatnonzero(n)
     if not len(full):
         return out
-    # counters of 8 bits in the bytes of 64-bit words: at most 255 hashes are added up before they are widened
+    all_h = np.concatenate(hashes)
     per = -(-n[full] // 255)
+    # counters of 8 bits in the bytes of 64-bit words: at most 255 hashes are added up before they are widened
     seg_doc = np.repeat(np.arange(len(full)), per)
     within = np.arange(len(seg_doc)) - np.repeat(np.cumsum(per) - per, per)
     first = np.cumsum(n[full]) - n[full]
@@ -75,9 +72,10 @@ def fingerprints(docs: DataFrame, width: int = 4, text_col: str = "text", id_col
     No words: zero. Fewer words than `width`: the whole sequence is the one shingle."""
     ship(docs.sparkSession)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 2 << 20):
-            fp = pa.array(_fingerprints(raw(b, "text"), width).view(np.int64))
+            fp = pa.array(fold([shingle_hashes(t, width) for t in raw(b, "text")]).view(np.int64))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), fp, *(b.column(c) for c in rows)], names=["doc_id", "fp", *rows])
 
     rows = ["row"] if row_col else []
@@ -173,6 +171,7 @@ def link_fingerprints(distinct: DataFrame, limit: int = 4) -> DataFrame:
     spark = distinct.sparkSession
     n = buckets(spark)
 
+    @lean
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 1 << 16):
@@ -186,6 +185,7 @@ def link_fingerprints(distinct: DataFrame, limit: int = 4) -> DataFrame:
                 rows = [(int(bucket[lo]), pack(a=what[lo:hi], f=mine[lo:hi])) for lo, hi in zip(edges, edges[1:]) if hi > lo]
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "blob"])
 
+    @lean_group
     def compare(t: pa.Table) -> pa.Table:
         anchor, fp = gather(t.column("blob").to_pylist(), ("u8", "u8"))
         got = _links(anchor, fp, limit).view(np.int64)

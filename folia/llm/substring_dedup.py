@@ -24,19 +24,23 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folia.llm.common import buckets, covered, gather, mix, pack, raw, slices, written
+from folia.llm.common import buckets, covered, gather, lean, lean_group, mix, pack, raw, slices, written
 from folia.session import ship
 
 PERIOD = 13
 COVER = (0, 1, 3, 9)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
-#: A document is named by its id and 16 bits of a hash of its text, in this order; null ids come last.
-DOC = ("i8", "u2")
+#: A document is named by its id and its place among the texts of that id, which is 0 for nearly all; null ids come last.
+DOC = ("i8", "u4")
+#: Places of null ids begin here.
+NULLS = 1 << 31
+#: Bytes of text in a bucket of documents or hashes, about.
+BUCKET = 24 << 20
 SPOT = (*DOC, "i4")
 
 
@@ -88,20 +92,21 @@ def _new(*keys: np.ndarray) -> np.ndarray:
 class _Texts:
     """Words of some texts, end to end."""
 
-    def __init__(self, ids: np.ndarray, texts: list[bytes | None], hashed: bool = True):
+    def __init__(self, ids: np.ndarray, tags: np.ndarray, texts: list[bytes | None], hashed: bool = True):
         self.text = [t or b"" for t in texts]
-        self.tag = np.fromiter(map(xxhash.xxh3_64_intdigest, self.text), np.uint64, len(self.text)).astype(np.uint16)
+        self.tag = tags.astype(np.uint32)
         self.id = ids
-        self.words = [t.split() for t in self.text]
-        self.n = np.fromiter(map(len, self.words), np.int64, len(self.words))
+        # words are split text by text, so that those of one text are held at a time
+        each = [_word_hashes(t.split()) for t in self.text] if hashed else []
+        self.n = np.fromiter(map(len, each) if hashed else (len(t.split()) for t in self.text), np.int64, len(self.text))
         self.end = np.cumsum(self.n)
         self.start = self.end - self.n
-        self.h = _word_hashes([w for x in self.words for w in x]) if hashed else np.empty(0, np.uint64)
+        self.h = np.concatenate(each) if each else np.empty(0, np.uint64)
 
     def rows(self, doc: np.ndarray, tag: np.ndarray) -> np.ndarray:
         """Row of each named document. Rows that repeat id and text are one document; its first row is meant."""
         order = _order(self.id, self.tag)
-        mine = np.empty(len(order), [("d", "i8"), ("t", "u2")])
+        mine = np.empty(len(order), [("d", "i8"), ("t", "u4")])
         mine["d"], mine["t"] = self.id[order], self.tag[order]
         ask = np.empty(len(doc), mine.dtype)
         ask["d"], ask["t"] = doc, tag
@@ -109,9 +114,31 @@ class _Texts:
         return order[np.searchsorted(mine, known)][back]
 
 
-def _doc_bucket(doc: np.ndarray, n: int) -> np.ndarray:
-    """As pmod(doc, n) in Spark."""
-    return np.mod(doc, n)
+def _doc_bucket(doc: np.ndarray, tag: np.ndarray, n: int) -> np.ndarray:
+    """As the column bucket of dealt()."""
+    return (np.mod(doc, n) + np.mod(tag.astype(np.int64), n)) % n
+
+
+def places(docs: DataFrame, id_col: str, text_col: str) -> DataFrame | None:
+    """(id, h, place) of texts whose id has other texts too, in order of the text's hash h; None where there are none.
+
+    Texts of one id are numbered in 256 ranges of their hash, so that an id (or null) of very many rows is not gathered."""
+    keys = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("h"))
+    more = keys.groupBy("id").agg(F.min("h").alias("a"), F.max("h").alias("z")).where("a <> z").select("id")
+    more = written(more)
+    if not more.take(1):
+        return None
+    one = keys.join(more, keys["id"].eqNullSafe(more["id"]), "left_semi").distinct().withColumn("part", F.shiftright("h", 56).cast("int"))
+    one = written(one)
+    counts = one.groupBy("id", "part").agg(F.count("*").alias("n"))
+    over = Window.partitionBy("id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(F.col("id").alias("i"), F.col("part").alias("p"), F.coalesce(F.sum("n").over(over), F.lit(0)).alias("before"))
+    inner = one.withColumn("k", F.row_number().over(Window.partitionBy("id", "part").orderBy("h")) - 1)
+    both = inner.join(before, inner["id"].eqNullSafe(before["i"]) & (inner["part"] == before["p"]))
+    out = written(both.select("id", "h", (F.col("k") + F.col("before")).alias("place")))
+    if out.agg(F.max("place")).first()[0] >= NULLS:
+        raise ValueError(f"an id has more than {NULLS} texts")
+    return out
 
 
 def _by_bucket(bucket: np.ndarray, **arrays: np.ndarray) -> Iterator[tuple[int, bytes]]:
@@ -144,22 +171,33 @@ def dedup_passages(docs: DataFrame, window: int = 20, text_col: str = "text", id
     doc_id or earlier in the same text, judged on the input. kept_text: the other
     words, joined by one space. A null text has no words. Rows that repeat doc_id and
     text are one document and all get its result; equal ids with different texts
-    are ordered by a hash of the text; null ids come last. Other columns are ignored."""
+    are ordered by Spark's xxhash64 of the text; null ids come last, in that order too. Columns that are not carried are ignored.
+    A text is held by one worker, however long; buckets of texts follow the bytes of all texts."""
     spark = docs.sparkSession
     ship(spark)
     short = window - PERIOD + 1
     if short < 2:
         raise ValueError(f"window has to be at least {PERIOD + 1} words")
     before, after = PERIOD - 1, window
-    # a message goes from each group to each bucket at most, so both counts stay near the number of partitions
-    n_hash = buckets(spark, 1)
+    held = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+    # a message goes from each group to each bucket at most
+    n_hash = max(buckets(spark, 1), -(-held // BUCKET))
     n_doc = next(k for k in range(2 * n_hash, 4 * n_hash + 2) if all(k % d for d in range(2, int(k**0.5) + 1)))  # a prime, for ids in steps
     last = (1 << 63) - 1
-    key = (F.coalesce(F.col(id_col).cast("long"), F.lit(last)).alias("doc"), F.col(text_col).cast("string").alias("text"))
-    frame = docs.select(*key)
-    # carried columns take numbers for names, so that none clashes
     carry = carry or []
-    full = docs.select(*key, *[F.col(c).alias(f"_{k}") for k, c in enumerate(carry)])
+    text = F.col(text_col).cast("string")
+    # columns take numbers for names, so that none clashes
+    full = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), *[F.col(c).alias(f"_{k}") for k, c in enumerate(carry)])
+    if (place := places(docs, id_col, text_col)) is not None:
+        at = place.toDF("i", "h", "place")
+        full = full.withColumn("hash", F.xxhash64("text")).join(at, F.col("id").eqNullSafe(F.col("i")) & (F.col("hash") == F.col("h")), "left").drop("i", "h", "hash")
+    else:
+        full = full.withColumn("place", F.lit(None).cast("long"))
+    tag = F.coalesce("place", F.lit(0)) + F.when(F.col("id").isNull(), F.lit(NULLS)).otherwise(0)
+    full = full.select(F.coalesce("id", F.lit(last)).alias("doc"), tag.cast("long").alias("tag"), "text", *[f"_{k}" for k in range(len(carry))])
+    if place is not None:
+        full = written(full)
+    frame = full.select("doc", "tag", "text")
 
     def fold(entry: dict[str, np.ndarray], key: list[str]) -> tuple[dict, dict]:
         """Entries that are the first of their key, and the others."""
@@ -173,6 +211,7 @@ def dedup_passages(docs: DataFrame, window: int = 20, text_col: str = "text", id
     def spots(e: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
         return {k: e[k] for k in ("doc", "tag", "pos")}
 
+    @lean
     def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
 
@@ -182,12 +221,12 @@ def dedup_passages(docs: DataFrame, window: int = 20, text_col: str = "text", id
             first, rest = fold(entry, ["anchor", "reach"])
             bucket = ((first["anchor"] >> np.uint64(32)) % np.uint64(n_hash)).astype(np.int64)
             out = [(k, COMPARE, x) for k, x in _by_bucket(bucket, anchor=first["anchor"].astype(np.uint32), reach=first["reach"], **spots(first))]
-            out += [(k, SETTLED, x) for k, x in _by_bucket(_doc_bucket(rest["doc"], n_doc), **spots(rest))]
+            out += [(k, SETTLED, x) for k, x in _by_bucket(_doc_bucket(rest["doc"], rest["tag"], n_doc), **spots(rest))]
             return _rows(out)
 
         count = 0
-        for b in slices(batches, "text"):
-            t = _Texts(b.column("doc").to_numpy(zero_copy_only=False), raw(b, "text"))
+        for b in slices(batches, "text", 2 << 20):
+            t = _Texts(b.column("doc").to_numpy(zero_copy_only=False), b.column("tag").to_numpy(zero_copy_only=False), raw(b, "text"))
             if not len(t.h):
                 continue
             row = np.repeat(np.arange(len(t.n)), t.n)
@@ -200,12 +239,13 @@ def dedup_passages(docs: DataFrame, window: int = 20, text_col: str = "text", id
                 "doc": t.id[r], "tag": t.tag[r], "pos": pos[at].astype(np.int32),
             })
             count += len(at)
-            if count > 1_000_000:
+            if count > 500_000:
                 yield flush()
                 count = 0
         if held:
             yield flush()
 
+    @lean_group
     def compare_anchors(t: pa.Table) -> pa.Table:
         names = ("anchor", "reach", "doc", "tag", "pos")
         first, rest = fold(dict(zip(names, gather(t.column("blob").to_pylist(), ("u4", "u8", *SPOT)))), ["anchor", "reach"])
@@ -213,8 +253,8 @@ def dedup_passages(docs: DataFrame, window: int = 20, text_col: str = "text", id
         size = np.diff(np.concatenate((lead, [len(first["anchor"])])))
         many = np.repeat(size > 1, size)
         more = {k: v[many] for k, v in first.items()}
-        out = [(k, SETTLED, x) for k, x in _by_bucket(_doc_bucket(rest["doc"], n_doc), **spots(rest))]
-        out += [(k, EXTEND, x) for k, x in _by_bucket(_doc_bucket(more["doc"], n_doc), **spots(more))]
+        out = [(k, SETTLED, x) for k, x in _by_bucket(_doc_bucket(rest["doc"], rest["tag"], n_doc), **spots(rest))]
+        out += [(k, EXTEND, x) for k, x in _by_bucket(_doc_bucket(more["doc"], more["tag"], n_doc), **spots(more))]
         return pa.Table.from_batches([_rows(out)])
 
     def window_range(t: _Texts, msgs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -228,11 +268,12 @@ def dedup_passages(docs: DataFrame, window: int = 20, text_col: str = "text", id
         return (t.start[r] + lo)[ok], (t.start[r] + hi + 1)[ok]
 
     def load(texts: pa.Table, hashed: bool) -> _Texts:
-        return _Texts(texts.column("doc").to_numpy(), raw(texts, "text"), hashed)
+        return _Texts(texts.column("doc").to_numpy(), texts.column("tag").to_numpy(), raw(texts, "text"), hashed)
 
     def messages(t: pa.Table, kind: int) -> list[bytes]:
         return [x for k, x in zip(t.column("kind").to_pylist(), t.column("blob").to_pylist()) if k == kind]
 
+    @lean_group
     def extend(texts: pa.Table, msgs: pa.Table) -> pa.Table:
         ask = messages(msgs, EXTEND)
         if not ask or not texts.num_rows:
@@ -246,14 +287,16 @@ def dedup_passages(docs: DataFrame, window: int = 20, text_col: str = "text", id
         first, rest = fold(entry, ["one", "two"])
         bucket = ((first["one"] >> np.uint64(32)) % np.uint64(n_hash)).astype(np.int64)
         out = [(k, COMPARE, x) for k, x in _by_bucket(bucket, one=first["one"], two=first["two"], **spots(first))]
-        out += [(k, REPEAT, x) for k, x in _by_bucket(_doc_bucket(rest["doc"], n_doc), **spots(rest))]
+        out += [(k, REPEAT, x) for k, x in _by_bucket(_doc_bucket(rest["doc"], rest["tag"], n_doc), **spots(rest))]
         return pa.Table.from_batches([_rows(out)])
 
+    @lean_group
     def compare_windows(t: pa.Table) -> pa.Table:
         names = ("one", "two", "doc", "tag", "pos")
         _, rest = fold(dict(zip(names, gather(t.column("blob").to_pylist(), ("u8", "u8", *SPOT)))), ["one", "two"])
-        return pa.Table.from_batches([_rows([(k, REPEAT, x) for k, x in _by_bucket(_doc_bucket(rest["doc"], n_doc), **spots(rest))])])
+        return pa.Table.from_batches([_rows([(k, REPEAT, x) for k, x in _by_bucket(_doc_bucket(rest["doc"], rest["tag"], n_doc), **spots(rest))])])
 
+    @lean_group
     def finish(texts: pa.Table, msgs: pa.Table) -> pa.Table:
         t = load(texts, False)
         n = int(t.n.sum())
@@ -266,19 +309,21 @@ def dedup_passages(docs: DataFrame, window: int = 20, text_col: str = "text", id
         # rows that repeat a document take over what its first row lost
         lead = t.rows(t.id, t.tag) if len(t.n) else np.zeros(0, np.int64)
         kept, removed = [], []
-        for k, words in enumerate(t.words):
-            r = lead[k]
+        for k, own in enumerate(t.text):
+            r, words = lead[k], own.split()
             mask = gone[t.start[r] : t.end[r]] if t.n[r] == t.n[k] else gone[t.start[k] : t.end[k]]
             lost = int(mask.sum())
             kept.append(b" ".join(words) if not lost else b" ".join([w for w, g in zip(words, mask.tolist()) if not g]))
             removed.append(lost)
-        cols = {"doc": texts.column("doc"), "n_words": t.n, "n_removed": np.array(removed, np.int64), "kept_sha256": [hashlib.sha256(x).hexdigest() for x in kept]}
+        ids = pa.array(t.id, mask=t.tag >= NULLS)
+        cols = {"doc": ids, "n_words": t.n, "n_removed": np.array(removed, np.int64), "kept_sha256": [hashlib.sha256(x).hexdigest() for x in kept]}
         if keep_text:
             cols["kept_text"] = pa.array(kept, pa.binary()).cast(pa.string())
         return pa.table(cols | {f"_{k}": texts.column(f"_{k}") for k in range(len(carry))})
 
     def dealt(df: DataFrame) -> DataFrame:
-        return df.withColumn("bucket", F.pmod("doc", F.lit(n_doc)).cast("int"))
+        n = F.lit(n_doc)
+        return df.withColumn("bucket", F.pmod(F.pmod("doc", n) + F.pmod("tag", n), n).cast("int"))
 
     spread = written(frame.mapInArrow(find_anchors, MESSAGES), "lz4")
     hot = written(spread.where(f"kind = {COMPARE}").groupBy("bucket").applyInArrow(compare_anchors, MESSAGES), "lz4")
@@ -293,4 +338,4 @@ def dedup_passages(docs: DataFrame, window: int = 20, text_col: str = "text", id
         schema = schema.add(f"_{k}", full.schema[f"_{k}"].dataType)
     out = dealt(full).groupBy("bucket").cogroup(verdicts.groupBy("bucket")).applyInArrow(finish, schema)
     names = ["n_words", "n_removed", "kept_sha256"] + ["kept_text"] * keep_text
-    return out.select(F.expr(f"nullif(doc, {last})").alias("doc_id"), *names, *[F.col(f"_{k}").alias(c) for k, c in enumerate(carry)])
+    return out.select(F.col("doc").alias("doc_id"), *names, *[F.col(f"_{k}").alias(c) for k, c in enumerate(carry)])

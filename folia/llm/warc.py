@@ -20,7 +20,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folia.llm.common import raw, shared_dir, slices, written
+from folia.llm.common import lean, lean_group, raw, shared_dir, slices, written
 from folia.session import ship
 
 #: An archive is closed when it has this many bytes.
@@ -64,6 +64,7 @@ def record(page_id: int | None, url: bytes | None, digest: bytes, size: int, pay
 def members(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
     """(row, page_id, url, digest, payload_bytes, member): the gzip member of each page's response; a null payload is empty."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "payload"):
             payloads = [x or b"" for x in raw(b, "payload")]
@@ -99,6 +100,7 @@ def write_archives(pages: DataFrame, path: str, smallest: int = 0, archive_bytes
     chunk = (F.shiftright("row", 33) * (1 << 24) + F.floor(F.col("row").bitwiseAND(F.lit((1 << 33) - 1)) / CHUNK_ROWS)).alias("chunk")
     base = f"{path}/data"
 
+    @lean_group
     def lay(held: pa.Table, revisits: pa.Table) -> pa.Table:
         refers = dict(zip(revisits.column("row").to_pylist(), revisits.column("first_id").to_pylist()))
         fs, root = pafs.FileSystem.from_uri(base)
@@ -157,6 +159,7 @@ def read_records(index: DataFrame, range_bytes: int = RANGE_BYTES, gap_bytes: in
     entry = F.struct("offset", "length", "row", "digest")
     ranges = cut.groupBy("path", "jump", "cell").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
 
+    @lean
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for path, entries in zip(b.column("path").to_pylist(), b.column("entries").to_pylist()):

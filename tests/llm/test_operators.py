@@ -156,6 +156,39 @@ def test_language_held_out_accuracy(spark):
     assert bounds[0] >= 0 and bounds[1] <= 1
 
 
+def brute_language(text, known):
+    """Smallest sum of compressed sizes, plainly; the margin to the second."""
+    import zstandard
+
+    w = re.sub(r"[^a-z\x80-\U0010ffff]+", " ", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")).strip().encode()
+    if not text or not any(map(str.isalpha, text)):
+        return "und", 0.0
+    sizes = []
+    for k in sorted(known):
+        tool = zstandard.ZstdCompressor(level=6, dict_data=zstandard.ZstdCompressionDict(known[k], dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False)
+        sizes.append((sum(len(tool.compress(w[i : i + 2048])) for i in range(0, max(1, len(w)), 2048)), k))
+    sizes.sort()
+    return sizes[0][1], (sizes[1][0] - sizes[0][0]) / sizes[1][0]
+
+
+@pytest.mark.parametrize("which", ["tiny", "odd"])
+def test_language_equals_brute_force(spark, tiny, odd, which):
+    docs = spark.read.parquet(f"{tiny}/documents.parquet") if which == "tiny" else odd
+    known = langid.fit_dictionaries(docs.where(~langid.held_out()))
+    want = Counter()
+    for r in docs.select("doc_id", "text").collect():
+        want[r["doc_id"], *brute_language(r["text"], known)] += 1
+    assert Counter(tuple(r) for r in langid.identify(docs, known).collect()) == want
+    narrow = langid.identify(docs, known, margin=0.02).collect()
+    assert Counter((r["doc_id"], r["lang_pred"], r["score"]) for r in narrow) == Counter({(d, k if s >= 0.02 else "und", s): n for (d, k, s), n in want.items()})
+
+
+def test_language_fit_of_one_crowding_id(spark):
+    rows = [(None, f"many words under a null id {k}", "big") for k in range(20000)] + [(k, f"altra lingua {k}", "small") for k in range(200)]
+    known = langid.fit_dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_docs=50)
+    assert set(known) == {"big", "small"} and known["small"].count(b"altra lingua") == 50 and known["big"].count(b"null id") == 50
+
+
 def test_language_edges(odd):
     known = langid.fit_dictionaries(odd)
     got = {r["doc_id"]: r for r in langid.identify(odd, known).collect()}
@@ -239,7 +272,8 @@ def test_bpe_equals_the_library(spark, tiny, odd, which):
     extra = ["a  b", "a   b \n c", " \n \n x", "x\t\ty   z", "tail ", "\n\n", "aaaaaaaa aaa", "a <|endoftext|>b<|endoftext|>", "it's 123 4.5% naïve 🙂👍🏽", "é \x1c \x85 q", "foo\n \nbar", "I'LL we'll''s"]
     docs = docs.select("doc_id", "text").union(spark.createDataFrame(list(enumerate(extra, 100000)), "doc_id long, text string"))
     rows = docs.collect()
-    got = bpe.encode_decode(docs, queries.BYTE_BPE).collect()
+    got = bpe.encode_decode(docs, queries.BYTE_BPE, with_text=True).collect()
+    assert all(hashlib.sha256(r["decoded"].encode()).hexdigest() == r["decoded_sha256"] for r in got)
     assert len(got) == len(rows)
     want = Counter()
     for r in rows:
@@ -249,8 +283,29 @@ def test_bpe_equals_the_library(spark, tiny, odd, which):
     assert Counter((r["doc_id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in got) == want
 
 
-def brute_passages(rows, n=20):
-    docs = sorted({(r["doc_id"] is None, r["doc_id"] or 0, r["text"]) for r in rows}, key=lambda x: (*x[:2], int(np.uint16(xxhash.xxh3_64_intdigest((x[2] or "").encode()) & 0xFFFF))))
+def test_bpe_long_texts_in_stretches(monkeypatch):
+    from tokenizers import Tokenizer
+
+    tool = Tokenizer.from_file(queries.BYTE_BPE)
+    monkeypatch.setattr(bpe, "LONG", 40)
+    monkeypatch.setattr(bpe, "IDS", 7)
+    r = random.Random(5)
+    texts = ["".join(r.choice(["word ", "a", " ", "  ", "'s", " x", "é", "日本 ", "\n", "1", "...", "<|endoftext|>", "🙂"]) for _ in range(400)) for _ in range(30)] + ["x" * 300, " " * 200, ""]
+    e = bpe.Encoder(bpe.Vocabulary(queries.BYTE_BPE))
+    monkeypatch.setattr(bpe, "MEMORY", 2000)
+    ids = e.encode(texts)
+    assert ids == [np.array(tool.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert [x.decode() for x in e.decode_all(ids)] == texts
+
+
+def test_bpe_kept_columns_may_clash(spark):
+    got = bpe.encode_decode(spark.createDataFrame([(1, "a b", 7, 8)], "n_tokens long, text string, ids int, k0 int"), queries.BYTE_BPE, keep=["n_tokens", "ids", "k0"])
+    assert got.columns == ["n_tokens", "ids", "k0", "n_tokens", "ids_sha256", "decoded_sha256", "ids"] and list(got.collect()[0])[:4] == [1, 7, 8, 2]
+
+
+def brute_passages(docs, n=20):
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()
+    docs = [(*x[:2], x[3]) for x in sorted({(r["doc_id"] is None, r["doc_id"] or 0, r["h"], r["text"]) for r in rows}, key=lambda x: x[:3])]
     seen, out = set(), {}
     for d in docs:
         w = words(d[2])
@@ -268,7 +323,19 @@ def brute_passages(rows, n=20):
 def test_passages(spark, tiny, odd, which):
     docs = spark.read.parquet(f"{tiny}/documents.parquet") if which == "tiny" else odd
     got = substring_dedup.dedup_passages(docs).collect()
-    assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got) == brute_passages(docs.select("doc_id", "text").collect())
+    assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got) == brute_passages(docs)
+
+
+def test_passages_of_null_and_repeated_ids(spark):
+    r = random.Random(8)
+    word = lambda n: " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+    shared = word(30)
+    rows = [(None if k % 4 else k % 9, word(25) + (" " + shared if k % 2 else "")) for k in range(1200)]
+    rows += [(2**63 - 1, shared + " last"), (-(2**63), word(40)), (None, rows[3][1]), (None, None)]
+    docs = common.written(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = substring_dedup.dedup_passages(docs).collect()
+    assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got) == brute_passages(docs)
+    assert Counter(r["n_removed"] for r in got)[30] == 601 and {r["n_removed"] for r in got} == {0, 30}
 
 
 def test_difference_cover():
