@@ -16,16 +16,23 @@ from pyspark.sql import functions as F
 
 from folia.llm.common import written
 
-BINS = 256
+BINS = 1024
 #: Columns that hold a row's place in each dimension, and those that break ties.
 DIMENSIONS = ("d_id", "d_size", "d_source", "d_lang")
 TIES = ("d_id", "row")
 
 
-def _letters(c: str) -> Column:
-    """The first six bytes of a string as a number, in code point order; null is 0."""
-    h = F.rpad(F.hex(F.substring(F.encode(F.coalesce(F.col(c).cast("string"), F.lit("")), "UTF-8"), 1, 6)), 12, "0")
-    return F.coalesce(F.conv(h, 16, 10).cast("long"), F.lit(0))
+def _places(t: DataFrame, c: str) -> DataFrame:
+    """(value, place): the distinct values of a column numbered from 0 in code point order, null first; all of a string counts.
+
+    Values are sorted over range partitions and numbered in each; only the partitions' counts are summed up together."""
+    names = written(t.select(F.col(c).alias("value")).distinct().orderBy(F.asc_nulls_first("value")).withColumn("at", F.monotonically_increasing_id()))
+    part = F.shiftright("at", 33)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    counts = names.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    heads = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("head"))
+    inner = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    return names.withColumn("part", part).join(heads, "part").select("value", (F.col("head") + inner).alias("place"))
 
 
 @dataclass
@@ -50,7 +57,7 @@ def _ranges(t: DataFrame, node: Column) -> dict[int, dict]:
 
 
 def _medians(t: DataFrame, node: Column, want: dict[int, tuple[str, float, int, int]]) -> dict[int, tuple[int, int, int]]:
-    """For each node the key (dim value, id, row) at which its bytes reach the wanted sum, to the nearer side."""
+    """For each node the key (dim value, id, row) at which its bytes reach the wanted sum."""
     state = {k: {"keys": [d, *TIES], "fixed": [], "before": 0.0, "goal": goal, "span": (lo, hi)} for k, (d, goal, lo, hi) in want.items()}
     while todo := {k: s for k, s in state.items() if len(s["fixed"]) < 3}:
         # bins of this pass: span of the current key among the rows that share the fixed keys
@@ -64,7 +71,9 @@ def _medians(t: DataFrame, node: Column, want: dict[int, tuple[str, float, int,
                 lo, hi = s["span"]
                 mine = mine & c.between(lo, hi)
                 width = max(1, -(-(hi - lo + 1) // BINS))
-                b = F.floor((c - lo) / width).cast("int")
+                # spans beyond 63 bits are counted in decimals
+                apart = c - lo if hi - lo < 1 << 53 else c.cast("decimal(20,0)") - F.lit(str(lo)).cast("decimal(20,0)")
+                b = F.floor(apart / width if hi - lo < 1 << 53 else apart / F.lit(str(width)).cast("decimal(20,0)")).cast("int")
             else:
                 b = F.lit(0)
             inside, key, bin_of = inside | mine, F.when(mine, c).otherwise(key), F.when(mine, b).otherwise(bin_of)
@@ -97,8 +106,8 @@ def kd_shards(
     size: UTF-8 bytes of the text (null: none) plus 1. Give the number of shards or
     the target bytes of a leaf, which gives a power of two. A node for k shards is cut at
     floor(k/2)/k of its bytes, along the dimension (id, size, source, language) whose range is
-    the largest part of the range over all rows. slot numbers each shard's rows from 0 without gaps.
-    Null ids come first; rows that repeat are rows like any other and split apart by their row
+    the largest part of the range over all rows; the range of source and language is that of their places among all values. slot numbers each shard's rows from 0 without gaps.
+    Null ids come first (with the smallest long); ids may span all 64 bits; texts of any length are a row like others; rows that repeat are rows like any other and split apart by their row
     number; no cut separates fewer than two rows, so shards may stay empty on tiny tables. A
     missing source or language column counts as null. Other columns are ignored."""
     spark = docs.sparkSession
@@ -109,13 +118,13 @@ def kd_shards(
         F.col(id_col).cast("long").alias("doc_id"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
-        (F.col(source_col) if source_col in have else null).alias("source"),
-        (F.col(lang_col) if lang_col in have else null).alias("lang"),
-    )
-    t = t.select(
-        "doc_id", "size", "text_crc32", F.coalesce("doc_id", F.lit(-(1 << 62))).alias("d_id"), F.col("size").alias("d_size"),
-        _letters("source").alias("d_source"), _letters("lang").alias("d_lang"), F.monotonically_increasing_id().alias("row"),
+        (F.col(source_col).cast("string") if source_col in have else null).alias("source"),
+        (F.col(lang_col).cast("string") if lang_col in have else null).alias("lang"),
     )
+    t = written(t.select("*", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("d_id"), F.col("size").alias("d_size"), F.monotonically_increasing_id().alias("row")))
+    for c in ("source", "lang"):
+        at = _places(t, c)
+        t = t.join(at, F.col(c).eqNullSafe(F.col("value"))).withColumnRenamed("place", f"d_{c}").drop("value", c)
     t = written(t)
     whole = _ranges(t, F.lit(0))
     if not whole:
