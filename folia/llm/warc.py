@@ -25,8 +25,8 @@ from folia.session import ship
 
 #: An archive is closed when it has this many bytes.
 ARCHIVE_BYTES = 64 << 20
-#: Rows whose members are laid out together.
-CHUNK_ROWS = 512
+#: Members of about this many bytes are laid out together, in row order; a larger member is alone.
+CHUNK_BYTES = 32 << 20
 RANGE_BYTES = 8 << 20
 GAP_BYTES = 64 << 10
 DATE = "1970-01-01T00:00:00Z"
@@ -38,8 +38,9 @@ def _member(data: bytes) -> bytes:
     return z.compress(data) + z.flush()
 
 
-def _urn(page_id: int | None) -> bytes:
-    return b"<urn:page:%s>" % (b"none" if page_id is None else str(page_id).encode())
+def _urn(page_id: int | None, row: int) -> bytes:
+    """A name of its own for each row, also where page ids repeat or are null."""
+    return b"<urn:page:%s:%d>" % (b"none" if page_id is None else str(page_id).encode(), row)
 
 
 def _uri(url: bytes | None) -> bytes:
@@ -47,39 +48,47 @@ def _uri(url: bytes | None) -> bytes:
     return b"".join(b"%%%02X" % c if c < 33 or c == 127 else bytes((c,)) for c in url or b"") if url and any(c < 33 or c == 127 for c in url) else url or b""
 
 
-def record(page_id: int | None, url: bytes | None, digest: bytes, size: int, payload: bytes | None, refers_to: int | None = None) -> bytes:
-    """A response record, or without payload a revisit record of the page refers_to."""
+def record(page_id: int | None, row: int, url: bytes | None, digest: bytes, size: int, payload: bytes | None, refers_to: tuple[int | None, int] = (None, 0)) -> bytes:
+    """A response record, or without payload a revisit record of the page and row refers_to."""
     revisit = payload is None
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: %d\r\n\r\n" % size + (payload or b"")
     lines = [
-        b"WARC/1.1", b"WARC-Type: " + (b"revisit" if revisit else b"response"), b"WARC-Record-ID: " + _urn(page_id),
+        b"WARC/1.1", b"WARC-Type: " + (b"revisit" if revisit else b"response"), b"WARC-Record-ID: " + _urn(page_id, row),
         b"WARC-Target-URI: " + _uri(url), b"WARC-Date: " + DATE.encode(), b"WARC-Payload-Digest: sha1:" + digest,
     ]
     if revisit:
-        lines += [b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", b"WARC-Refers-To: " + _urn(refers_to)]
+        lines += [b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", b"WARC-Refers-To: " + _urn(*refers_to)]
     lines += [b"Content-Type: application/http;msgtype=response", b"Content-Length: %d" % len(block)]
     return b"\r\n".join(lines) + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
 def members(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
-    """(row, page_id, url, digest, payload_bytes, member): the gzip member of each page's response; a null payload is empty."""
+    """(row, chunk, page_id, url, digest, payload_bytes, member): the gzip member of each page's response; a null payload is empty.
+
+    chunk numbers stretches of CHUNK_BYTES of members of an input partition, whose number stands in the upper bits."""
 
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "payload"):
+        done = 0
+        for b in slices(batches, "payload", 2 << 20):
             payloads = [x or b"" for x in raw(b, "payload")]
             digests = [base64.b32encode(hashlib.sha1(x).digest()) for x in payloads]
-            rows = zip(b.column("page_id").to_pylist(), raw(b, "url"), digests, payloads)
-            out = [_member(record(i, u, d, len(x), x)) for i, u, d, x in rows]
+            row = b.column("row").to_pylist()
+            rows = zip(b.column("page_id").to_pylist(), row, raw(b, "url"), digests, payloads)
+            out = [_member(record(i, r, u, d, len(x), x)) for i, r, u, d, x in rows]
+            chunk = []
+            for r, x in zip(row, out):
+                chunk.append((r >> 33 << 33) + done // CHUNK_BYTES)
+                done += len(x)
             yield pa.RecordBatch.from_arrays(
-                [b.column("row"), b.column("page_id"), b.column("url"), pa.array(digests, pa.binary()).cast(pa.string()), pa.array([len(x) for x in payloads], pa.int64()), pa.array(out, pa.binary())],
-                names=["row", "page_id", "url", "digest", "payload_bytes", "member"],
+                [b.column("row"), pa.array(chunk, pa.int64()), b.column("page_id"), b.column("url"), pa.array(digests, pa.binary()).cast(pa.string()), pa.array([len(x) for x in payloads], pa.int64()), pa.array(out, pa.binary())],
+                names=["row", "chunk", "page_id", "url", "digest", "payload_bytes", "member"],
             )
 
     t = pages.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(payload_col).cast("string").alias("payload")
     )
-    return t.mapInArrow(run, "row long, page_id long, url string, digest string, payload_bytes long, member binary")
+    return t.mapInArrow(run, "row long, chunk long, page_id long, url string, digest string, payload_bytes long, member binary")
 
 
 def write_archives(pages: DataFrame, path: str, smallest: int = 0, archive_bytes: int = ARCHIVE_BYTES, **columns) -> DataFrame:
@@ -93,16 +102,14 @@ def write_archives(pages: DataFrame, path: str, smallest: int = 0, archive_bytes
     ship(spark)
     store = written(members(pages, **columns), "none")
     order = F.struct(F.col("page_id").isNull().alias("none"), F.col("page_id").alias("page_id"), F.col("row").alias("row"))
-    keys = store.where(F.col("payload_bytes") >= smallest).select("row", "page_id", "digest", "payload_bytes")
+    keys = store.where(F.col("payload_bytes") >= smallest).select("row", "chunk", "page_id", "digest", "payload_bytes")
     first = keys.groupBy("digest", "payload_bytes").agg(F.min(order).alias("first"))
-    again = written(keys.join(first, ["digest", "payload_bytes"]).where(F.col("first.row") != F.col("row")).select("row", F.col("first.page_id").alias("first_id")))
-    # the input partition stands in the upper bits of the row number
-    chunk = (F.shiftright("row", 33) * (1 << 24) + F.floor(F.col("row").bitwiseAND(F.lit((1 << 33) - 1)) / CHUNK_ROWS)).alias("chunk")
+    again = written(keys.join(first, ["digest", "payload_bytes"]).where(F.col("first.row") != F.col("row")).select("row", "chunk", F.col("first.page_id").alias("first_id"), F.col("first.row").alias("first_row")))
     base = f"{path}/data"
 
     @lean_group
     def lay(held: pa.Table, revisits: pa.Table) -> pa.Table:
-        refers = dict(zip(revisits.column("row").to_pylist(), revisits.column("first_id").to_pylist()))
+        refers = dict(zip(revisits.column("row").to_pylist(), zip(revisits.column("first_id").to_pylist(), revisits.column("first_row").to_pylist())))
         fs, root = pafs.FileSystem.from_uri(base)
         fs.create_dir(root, recursive=True)
         out: list[tuple] = []
@@ -127,7 +134,7 @@ def write_archives(pages: DataFrame, path: str, smallest: int = 0, archive_bytes
         for r in sorted(held.select(["row", "page_id", "url", "digest", "payload_bytes", "member"]).to_pylist(), key=lambda r: r["row"]):
             x = r["member"]
             if r["row"] in refers:
-                x = _member(record(r["page_id"], r["url"].encode() if r["url"] else None, r["digest"].encode(), r["payload_bytes"], None, refers[r["row"]]))
+                x = _member(record(r["page_id"], r["row"], r["url"].encode() if r["url"] else None, r["digest"].encode(), r["payload_bytes"], None, refers[r["row"]]))
             if open_ and size + len(x) > archive_bytes:
                 close()
             out.append((None, size, len(x), r["row"], r["url"], r["digest"]))
@@ -138,7 +145,7 @@ def write_archives(pages: DataFrame, path: str, smallest: int = 0, archive_bytes
         kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
         return pa.table({k: pa.array(c, t) for k, c, t in zip(("path", "offset", "length", "row", "url", "digest"), cols, kinds)})
 
-    laid = store.withColumn("chunk", chunk).groupBy("chunk").cogroup(again.withColumn("chunk", chunk).groupBy("chunk")).applyInArrow(lay, "path string, offset long, length long, row long, url string, digest string")
+    laid = store.groupBy("chunk").cogroup(again.groupBy("chunk")).applyInArrow(lay, "path string, offset long, length long, row long, url string, digest string")
     laid.write.parquet(f"{path}/index")
     return spark.read.parquet(f"{path}/index")
 
@@ -185,7 +192,7 @@ def _parsed(entry: dict, member: bytes) -> tuple:
         raise ValueError(f"no record of {entry['length']} bytes at offset {entry['offset']}")
     http, _, payload = block.partition(b"\r\n\r\n")
     size = next(int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:"))
-    page = lambda x: None if x is None or (y := x.decode()[len("<urn:page:") : -1]) == "none" else int(y)
+    page = lambda x: None if x is None or (y := x.decode().split(":")[2]) == "none" else int(y)
     kind = fields[b"warc-type"].decode()
     digest = fields[b"warc-payload-digest"].decode().removeprefix("sha1:")
     if kind == "response":
