@@ -25,6 +25,8 @@ from folia.session import ship
 #: (first bit, bits) of the blocks.
 BLOCKS = ((0, 21), (21, 21), (42, 22))
 CODE_BITS = 15
+#: A fingerprint with more than this part of all rows is joined by itself.
+HOT = 256
 SEED = 42
 
 
@@ -202,9 +204,13 @@ def near_duplicates(docs: DataFrame, limit: int = 4, width: int = 4, text_col: s
     but never names one unless all its ids are null. Texts without words share fingerprint zero and are
     linked like any other. Other columns are ignored."""
     prints = written(fingerprints(docs, width, text_col, id_col, row_col))
-    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
     roots = components(link_fingerprints(nodes, limit)).toDF("fp", "root")
     small = roots.join(nodes, "fp").groupBy("root").agg(F.min("least").alias("component"))
     named = roots.join(small, "root").select("fp", "component", "root")
-    label = nodes.join(named, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"), F.coalesce("root", "fp").alias("root"))
-    return prints.join(label, "fp").select("doc_id", "fp", "component_id", "root", *(["row"] if row_col else []))
+    label = nodes.join(named, "fp", "left").select("fp", "n", F.coalesce("component", "least").alias("component_id"), F.coalesce("root", "fp").alias("root"))
+    # fingerprints of more than a part of all rows: fewer than HOT of them, so they can be broadcast, and their rows stay where they are
+    label = written(label)
+    hot = F.broadcast(label.where(F.col("n") > (label.agg(F.sum("n")).first()[0] or 0) / HOT).drop("n"))
+    rest = prints.join(hot.select("fp"), "fp", "left_anti").join(label.drop("n"), "fp")
+    return prints.join(hot, "fp").unionByName(rest).select("doc_id", "fp", "component_id", "root", *(["row"] if row_col else []))
