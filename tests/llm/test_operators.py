@@ -87,8 +87,16 @@ def test_shards(spark, tiny, odd):
         b = docs[r["doc_id"]].encode()
         assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(b) + 1, zlib.crc32(b), "bytes", None)
     check_shards(out, 16, 2 * max(r["size"] for r in out))
-    out = sharding.kd_shards(odd.where("length(text) < 5000 or text is null"), 4).collect()
+    out = sharding.kd_shards(odd, 4).collect()
     check_shards(out, 4, 2 * max(r["size"] for r in out))
+    wide = [((k * 0x9E3779B97F4A7C15 + 5) % 2**64 - 2**63, "x" * (k % 50), "l", "s") for k in range(400)] + [(2**63 - 1, "a", "l", "s"), (-(2**63), "b", "l", "s"), (None, "c", None, None)]
+    out = sharding.kd_shards(spark.createDataFrame(wide, "doc_id long, text string, lang string, source string"), 8).collect()
+    assert len(out) == 403
+    check_shards(out, 8, 300)
+    # one id and size; sources that share their first 12 bytes make the widest dimension and are kept together
+    named = [(1, "same", "l", f"common-prefix-{k % 4}") for k in range(80)]
+    out = sharding.kd_shards(spark.createDataFrame(named, "doc_id long, text string, lang string, source string"), 4).collect()
+    check_shards(out, 4, 0)
     same = spark.createDataFrame([(1, "same text", None, None)] * 40, "doc_id long, text string, lang string, source string")
     out = sharding.kd_shards(same, 4).collect()
     assert Counter(r["shard"] for r in out) == {k: 10 for k in range(4)}
@@ -221,6 +229,20 @@ def test_warc(spark, tiny):
     assert {bytes(r["payload"]) for r in some if r["page_id"] == 9005} == {b"WARC/1.1\r\n\r\nfoo"}
 
 
+def test_warc_by_bytes(spark, monkeypatch):
+    """Payloads above the archive size, several archives of a chunk, gaps between wanted records."""
+    r = random.Random(2)
+    rows = [(k, f"u{k}", r.randbytes(40_000 if k == 7 else 900).hex()) for k in range(60)]
+    pages = common.written(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2))
+    path = common.shared_dir(spark)
+    index = warc.write_archives(pages, path, archive_bytes=5000)
+    assert index.select("path").distinct().count() > 10
+    got = {x["page_id"]: x["payload"] for x in warc.read_records(index, gap_bytes=10).collect()}
+    assert got == {k: h.encode() for k, _, h in rows}
+    wanted = spark.createDataFrame([(f"u{k}",) for k in (1, 7, 8, 30, 59)], "url string")
+    assert {x["page_id"] for x in warc.select_urls(spark, path, wanted).collect()} == {1, 7, 8, 30, 59}
+
+
 def brute_repeats(w):
     longest = 0
     cover = [False] * len(w)
