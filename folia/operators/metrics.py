@@ -49,25 +49,66 @@ def list_exact(gold: Column, predicted: Column) -> Column:
     return ((F.size(gold) == F.size(predicted)) & (F.array_sort(F.array_distinct(gold)) == F.array_sort(F.array_distinct(predicted)))).cast("double")
 
 
+def decimals(c: Column) -> Column:
+    """Digits behind the point as a number is usually written (at least one); 3 where it is written without a point."""
+    t = c.cast("string")
+    return F.when(t.contains("."), F.length(F.substring_index(t, ".", -1))).otherwise(F.lit(3))
+
+
 def numbers_equal(gold: Column, predicted: Column, tolerance: float = 0.01) -> Column:
-    """Equal up to one percent, also when either is given in percent."""
-    near = lambda a, b: F.abs(a - b) <= tolerance * F.greatest(F.abs(a), F.abs(b))
-    return F.coalesce(near(gold, predicted) | near(gold, predicted / 100) | near(gold, predicted * 100), F.lit(False))
+    """Equal up to one percent of the larger, or when both are rounded to the fewer of their decimals (2 at least); the gold number may be in percent or a share."""
+    close = lambda a, b: F.abs(a - b) <= tolerance * F.greatest(F.abs(a), F.abs(b))
+
+    def rounded(a: Column, b: Column) -> Column:
+        n = F.pow(F.lit(10.0), F.greatest(F.least(decimals(a), decimals(b)), F.lit(2)))
+        return F.rint(a * n) == F.rint(b * n)
+
+    either = [close(g, predicted) | rounded(g, predicted) for g in (gold, gold / 100, gold * 100)]
+    return F.coalesce(either[0] | either[1] | either[2], F.lit(False))
+
+
+def clean_answer(c: Column) -> Column:
+    """Lower case, without bracketed remarks, one quote at either end, a dollar sign ahead and percent signs behind."""
+    t = F.trim(F.regexp_replace(F.trim(F.lower(c)), r"\s*\([^)]*\)", ""))
+    t = F.trim(F.regexp_replace(t, "^['\"]|['\"]$", ""))
+    return F.trim(F.regexp_replace(F.trim(F.regexp_replace(t, r"^\$+", "")), "%+$", ""))
+
+
+# Patterns of answers that have to match as a whole.
+EXACT = (
+    "https://",
+    r"\.py$|ipynb$",
+    "^page",
+    r"^\d+(-\d+|\s\d+)?$",
+    r"a\.m\.|p\.m\.",
+    r"^\d{4}[-\s]\d{2}[-\s]\d{2}$",
+    r"^\d{4}[-\s]\d{2}$",
+    r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$",
+)
+
+
+def exact_only(c: Column) -> Column:
+    """Web addresses, code files, pages, telephone numbers, times, dates and mail addresses."""
+    return c.rlike("|".join(f"(?:{x})" for x in EXACT))
 
 
 def typed_score(kind: Column, gold: Column, predicted: Column) -> Column:
-    """Score by answer format: Int and Float by value, Str and None by ANLS, List (JSON arrays) by the least ANLS of sorted items."""
-    number = lambda c: F.regexp_replace(c, r"[%$,\s]", "").try_cast("double")
-    items = lambda c: F.array_sort(F.transform(F.from_json(c, "array<string>"), lambda x: F.lower(F.trim(x))))
+    """Score by answer format. Int: the whole parts are equal. Float: numbers_equal. Str and None: the cleaned texts, by equality
+    where the gold one is exact_only, else by ANLS. Others are lists (JSON arrays or one item): of one length, sorted after cleaning, equal if
+    the first gold item is a number or exact_only, else the least ANLS of the pairs."""
+    plain = lambda a, b: F.when(exact_only(a), (a == b).cast("double")).otherwise(anls(a, b))
+    items = lambda c: F.array_sort(F.transform(F.when(F.trim(c).startswith("["), F.from_json(c, "array<string>")).otherwise(F.array(c)), clean_answer))
     g, p = items(gold), items(predicted)
-    pairs = F.zip_with(g, p, lambda a, b: anls(a, b))
-    listed = F.when(F.size(g) == F.size(p), F.coalesce(F.array_min(pairs), F.lit(1.0))).otherwise(F.lit(0.0))
-    whole = (F.bround(number(gold), 0) == F.bround(number(predicted), 0)).cast("double")
+    first = F.get(g, F.lit(0))
+    strict = first.try_cast("double").isNotNull() | exact_only(first)
+    listed = F.when(F.size(g) != F.size(p), F.lit(0.0)).when(strict, (g == p).cast("double")).otherwise(F.array_min(F.zip_with(g, p, lambda a, b: anls(a, b))))
+    whole = F.trim(gold).try_cast("long") == F.trim(predicted).try_cast("double").cast("long")
+    number = lambda c: clean_answer(c).try_cast("double")
     return (
-        F.when(kind == "Int", F.coalesce(whole, F.lit(0.0)))
+        F.when(kind == "Int", F.coalesce(whole.cast("double"), F.lit(0.0)))
         .when(kind == "Float", numbers_equal(number(gold), number(predicted)).cast("double"))
-        .when(kind == "List", F.coalesce(listed, F.lit(0.0)))
-        .otherwise(anls(gold, predicted))
+        .when(kind.isin("Str", "None"), plain(clean_answer(gold), clean_answer(predicted)))
+        .otherwise(F.coalesce(listed, F.lit(0.0)))
     )
 
 
@@ -122,8 +163,8 @@ def aligned_f1(gold: pd.Series, predicted: pd.Series) -> pd.Series:
 
 
 def accuracy_f1(df: DataFrame, group: list[str], score: str, answerable: str, answered: str) -> DataFrame:
-    """Mean score, and F1 of the scores over answerable and answered samples; 0 where a part is empty."""
-    hit = F.sum(F.when(F.col(answerable) & F.col(answered), F.col(score)).otherwise(0.0))
+    """Mean score, and F1: the scores of answerable samples over the number of answerable and of answered ones; 0 where a part is empty."""
+    hit = F.sum(F.when(F.col(answerable), F.col(score)).otherwise(0.0))
     recall = F.try_divide(hit, F.sum(F.col(answerable).cast("double")))
     precision = F.try_divide(hit, F.sum(F.col(answered).cast("double")))
     t = df.groupBy(*group).agg(F.avg(score).alias("accuracy"), F.coalesce(recall, F.lit(0.0)).alias("recall"), F.coalesce(precision, F.lit(0.0)).alias("precision"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folia.plans import extraction_queries, graph_queries, metric_queries, resolution_queries, sampling_queries, search_queries, source_queries, text_queries, tree_queries  # noqa: F401
+from folia.plans import extraction_queries, graph_queries, metric_queries, repair_queries, resolution_queries, sampling_queries, search_queries, source_queries, text_queries, tree_queries  # noqa: F401
 from folia.plans.registry import ORACLE_SQL, QUERIES
 
 FLAGSHIP = search_queries.hybrid_retrieval

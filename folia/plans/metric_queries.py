@@ -9,17 +9,14 @@ from folia.plans.registry import query
 from folia.session import table
 
 
-def pairs(spark, d, whole=False):
-    """(conv_id, turn, gold, predicted): the first words of each turn and of the next, or all of them."""
-    c = table(spark, d, "conversations")
-    head = lambda t, n: F.regexp_replace(t, r"\s+", " ") if whole else F.array_join(F.slice(F.split(F.regexp_replace(t, r"\s+", " "), " "), 1, n), " ")
-    gold = c.select("conv_id", "turn", head(F.col("text"), 12).alias("gold"))
-    nxt = c.select("conv_id", (F.col("turn") - 1).alias("turn"), head(F.col("text"), 10).alias("predicted"))
-    return gold.join(nxt, ["conv_id", "turn"])
+def pairs(spark, d):
+    """(conv_id, turn, gold, predicted): each turn and the next, with single spaces."""
+    c = table(spark, d, "conversations").select("conv_id", "turn", F.regexp_replace("text", r"\s+", " ").alias("gold"))
+    return c.join(c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("gold").alias("predicted")), ["conv_id", "turn"])
 
 
-_HEAD = "array_to_string(string_split(regexp_replace({0}, '\\s+', ' ', 'g'), ' ')[1:{1}], ' ')"
-_PAIRS = f"p AS (SELECT a.conv_id, a.turn, {_HEAD.format('a.text', 12)} AS gold, {_HEAD.format('b.text', 10)} AS predicted FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND a.turn + 1 = b.turn)"
+_ONE = "regexp_replace({0}, '\\s+', ' ', 'g')"
+_PAIRS = f"p AS (SELECT a.conv_id, a.turn, {_ONE.format('a.text')} AS gold, {_ONE.format('b.text')} AS predicted FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND a.turn + 1 = b.turn)"
 _TOK = "list_filter(list_transform(string_split(regexp_replace(lower({0}), '[-\\s]+', ' ', 'g'), ' '), lambda x: regexp_replace(x, '[^\\p{{L}}\\p{{N}}]', '', 'g')), lambda x: x <> '' AND x NOT IN ('a', 'an', 'the'))"
 
 
@@ -52,7 +49,7 @@ def metric_em_f1(spark, d):
 _JOINED = "j AS (SELECT lang, quality, (quality = 1) AS answerable, (toxic = 0) AS answered, n_chars % 5 / 4.0 AS score FROM documents JOIN labels USING (doc_id))"
 
 
-@query(f"""WITH {_JOINED}, s AS (SELECT lang, avg(score) AS accuracy, coalesce(sum(score) FILTER (WHERE answerable AND answered), 0) AS hit, count(*) FILTER (WHERE answerable) AS na, count(*) FILTER (WHERE answered) AS nb FROM j GROUP BY 1),
+@query(f"""WITH {_JOINED}, s AS (SELECT lang, avg(score) AS accuracy, coalesce(sum(score) FILTER (WHERE answerable), 0) AS hit, count(*) FILTER (WHERE answerable) AS na, count(*) FILTER (WHERE answered) AS nb FROM j GROUP BY 1),
     r AS (SELECT lang, accuracy, CASE WHEN na > 0 THEN hit / na ELSE 0 END AS recall, CASE WHEN nb > 0 THEN hit / nb ELSE 0 END AS precision FROM s)
     SELECT lang, round(accuracy, 6) AS accuracy, round(recall, 6) AS recall, round(precision, 6) AS precision, round(CASE WHEN recall + precision > 0 THEN 2 * recall * precision / (recall + precision) ELSE 0 END, 6) AS f1 FROM r""")
 def metric_acc_f1(spark, d):
@@ -61,7 +58,10 @@ def metric_acc_f1(spark, d):
     return t.select("lang", *[F.round(c, 6).alias(c) for c in ("accuracy", "recall", "precision", "f1")])
 
 
-@query("""SELECT o_orderkey, coalesce(abs(o_totalprice - l) <= 0.01 * greatest(abs(o_totalprice), abs(l)) OR abs(o_totalprice - l / 100) <= 0.01 * greatest(abs(o_totalprice), abs(l / 100)) OR abs(o_totalprice - l * 100) <= 0.01 * greatest(abs(o_totalprice), abs(l * 100)), false) AS equal
+_NEAR = "(abs({0} - l) <= 0.01 * greatest(abs({0}), abs(l)))"
+
+
+@query(f"""SELECT o_orderkey, coalesce({_NEAR.format('o_totalprice')} OR {_NEAR.format('o_totalprice / 100')} OR {_NEAR.format('o_totalprice * 100')}, false) AS equal
     FROM orders JOIN (SELECT l_orderkey, max(l_extendedprice) AS l FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey""")
 def metric_numbers(spark, d):
     top = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_extendedprice").alias("l"))
@@ -71,5 +71,20 @@ def metric_numbers(spark, d):
 @query()
 def metric_aligned_f1(spark, d):
     """List F1 under the best alignment of spans; tests hold it against small cases."""
-    p = pairs(spark, d, whole=True).select("conv_id", "turn", F.split("gold", r"[,.]\s*").alias("g"), F.split("predicted", r"[,.]\s*").alias("p"))
+    p = pairs(spark, d).select("conv_id", "turn", F.split("gold", r"[,.]\s*").alias("g"), F.split("predicted", r"[,.]\s*").alias("p"))
     return p.select("conv_id", "turn", metrics.aligned_f1("g", "p").alias("f1"))
+
+
+_CLEAN = "trim(regexp_replace(trim(regexp_replace(trim(regexp_replace(trim(regexp_replace(trim(lower({0})), '\\s*\\([^)]*\\)', '', 'g')), '^[''\"]|[''\"]$', '', 'g')), '^\\$+', '')), '%+$', ''))"
+
+
+@query(f"""WITH a AS (SELECT o_orderkey, '(' || o_orderstatus || ') $' || o_totalprice || '%' AS x, CASE o_orderkey % 4 WHEN 0 THEN 'page ' || o_custkey WHEN 1 THEN o_orderdate::DATE::VARCHAR WHEN 2 THEN '"mail' || o_custkey || '@a.example"' ELSE 'text "' || o_custkey END AS y FROM orders),
+    c AS (SELECT o_orderkey, {_CLEAN.format('x')} AS x, {_CLEAN.format('y')} AS y FROM a)
+    SELECT o_orderkey, x, y, regexp_matches(y, '^page|^\\d{{4}}[-\\s]\\d{{2}}[-\\s]\\d{{2}}$|^[a-z0-9._%+-]+@[a-z0-9.-]+\\.[a-z]{{2,}}$') AS exact FROM c""")
+def metric_clean_answer(spark, d):
+    k = F.col("o_orderkey") % 4
+    cust = F.col("o_custkey").cast("string")
+    y = F.when(k == 0, F.concat(F.lit("page "), cust)).when(k == 1, F.col("o_orderdate").cast("date").cast("string")).when(k == 2, F.concat(F.lit('"mail'), cust, F.lit('@a.example"'))).otherwise(F.concat(F.lit('text "'), cust))
+    x = F.concat(F.lit("("), "o_orderstatus", F.lit(") $"), F.col("o_totalprice").cast("string"), F.lit("%"))
+    t = table(spark, d, "orders").select("o_orderkey", metrics.clean_answer(x).alias("x"), metrics.clean_answer(y).alias("y"))
+    return t.withColumn("exact", metrics.exact_only(F.col("y")))

@@ -79,12 +79,13 @@ def tree_traverse(spark, d):
 
 
 @query(_sql(False) + """ SELECT node_id FROM t WHERE kind IN ('customer', 'order') AND (CASE WHEN kind = 'order' THEN true ELSE value = 0 END)
-    AND lower(array_to_string(list_transform(path, lambda x: CASE WHEN x LIKE 'n%' THEN x ELSE '' END), '')) LIKE '%5%' AND TRY_CAST(substr(node_id, 2) AS BIGINT) BETWEEN 10 AND 400""")
+    AND lower(array_to_string(list_transform(path, lambda x: CASE WHEN x LIKE 'n%' THEN x ELSE '' END), '')) LIKE '%5%' AND TRY_CAST(substr(node_id, 2) AS BIGINT) BETWEEN 10 AND (SELECT max(c_custkey) FROM customer)""")
 def node_filter(spark, d):
     """Nodes by type, by a range of numbers, and by a part of their section's name."""
     t = tree.with_paths(hierarchy(spark, d, False), [])
+    top = table(spark, d, "customer").agg(F.max("c_custkey").alias("m")).first()["m"]
     section = F.lower(F.array_join(F.filter("path", lambda x: x.startswith("n")), ""))
-    return t.where(F.col("kind").isin("customer", "order") & section.contains("5") & F.substring("node_id", 2, 8).try_cast("long").between(10, 400)).select("node_id")
+    return t.where(F.col("kind").isin("customer", "order") & section.contains("5") & F.substring("node_id", 2, 8).try_cast("long").between(10, top)).select("node_id")
 
 
 @query(_sql(False) + """, r AS (SELECT parent_id, node_id, row_number() OVER (PARTITION BY parent_id ORDER BY md5('9|' || node_id), node_id) - 1 AS k FROM t WHERE kind = 'order'),

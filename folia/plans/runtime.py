@@ -13,6 +13,8 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-folia-")
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/table-{uuid.uuid4().hex}"

@@ -81,9 +81,9 @@ def skyline_fallback(spark, d):
 
 
 @query("""SELECT doc_id, coalesce(n_chars, 0)::DOUBLE AS length_score, coalesce(quality, 0)::DOUBLE AS quality_score
-    FROM (SELECT doc_id, n_chars FROM documents WHERE doc_id % 2 = 0) FULL JOIN labels USING (doc_id)""")
+    FROM (SELECT doc_id, n_chars FROM documents) FULL JOIN labels USING (doc_id)""")
 def rank_merge(spark, d):
-    docs = table(spark, d, "documents").where("doc_id % 2 = 0").select("doc_id", F.col("n_chars").alias("score"))
+    docs = table(spark, d, "documents").select("doc_id", F.col("n_chars").alias("score"))
     return ranking.merge_scores({"length_score": docs, "quality_score": table(spark, d, "labels").select("doc_id", F.col("quality").alias("score"))}, "doc_id")
 
 
@@ -128,15 +128,21 @@ def hybrid_retrieval(spark, d):
 def route_documents(spark, d):
     """Documents that hold a question's text as a whole, three at most for each: routing by exact containment.
 
-    Candidates share the question's second to ninth word, so the containment test runs on an equi-join; questions have ten words at least."""
-    w = F.filter(F.split("text", r"[ \n]"), lambda x: x != "")
-    key = lambda i: F.xxhash64(F.array_join(F.slice("w", i, 8), " "))
-    q = table(spark, d, "benchmark").withColumn("w", w)
-    q = q.select("item_id", F.col("text").alias("question"), key(F.lit(2)).alias("k"))
-    docs = table(spark, d, "documents").withColumn("w", w).where("size(w) > 0")
-    # a word before or after the text may be glued to it, so only inner words are keys
-    spots = docs.select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - 7)), lambda i: F.xxhash64(F.array_join(F.slice("w", i, 8), " "))))).alias("k"))
-    pairs = spots.join(q.select("item_id", "k"), "k").select("item_id", "doc_id").distinct()
+    A word before or after the text may be glued to it, so its inner words, eight at most, are the key of an equi-join, whatever their
+    number; the containment test runs on what meets. Questions of two words and less have no inner word and are held against all documents."""
+    words = F.filter(F.split("text", r"[ \n]"), lambda x: x != "")
+    q = table(spark, d, "benchmark").select("item_id", F.col("text").alias("question"), words.alias("w"))
+    q = q.withColumn("len", F.greatest(F.lit(0), F.least(F.lit(8), F.size("w") - 2)))
+    docs = table(spark, d, "documents").select("doc_id", "text", words.alias("w"))
+    key = lambda i, n: F.xxhash64(F.array_join(F.slice("w", i, n), " "))
+    asked = q.where("len > 0").select("item_id", "len", key(F.lit(2), F.col("len")).alias("k"))
+    pairs = None
+    for n in [r["len"] for r in asked.select("len").distinct().collect()]:  # eight lengths at most
+        spots = docs.where(F.size("w") >= n).select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: key(i, F.lit(n))))).alias("k"))
+        part = spots.join(asked.where(F.col("len") == n).select("item_id", "k"), "k").select("item_id", "doc_id")
+        pairs = part if pairs is None else pairs.union(part)
+    short = q.where("len = 0").select("item_id", "question").join(docs.select("doc_id", "text"), F.contains("text", "question")).select("item_id", "doc_id")
+    pairs = (short if pairs is None else pairs.union(short)).distinct()
     checked = pairs.join(docs.select("doc_id", "text"), "doc_id").join(q.select("item_id", "question"), "item_id").where(F.contains("text", "question"))
     r = F.row_number().over(Window.partitionBy("item_id").orderBy("doc_id"))
     return checked.withColumn("r", r).where("r <= 3").select("item_id", "doc_id")
