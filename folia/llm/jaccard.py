@@ -230,6 +230,10 @@ def near_duplicates(docs: DataFrame, row_col: str, width: int = 5, text_col: str
     pairs = met.where("not many").select("a", "b").distinct().join(maps.toDF("a", "xa", "na", "ra"), "a").join(maps.toDF("b", "xb", "nb", "rb"), "b").where("ra <> rb")
     pairs = written(pairs.select("a", "b", "xa", "na", "xb", "nb").mapInArrow(differ, "a long, b long"))
     crowd = met.where("many").select(F.col("a").alias("key"), F.col("b").alias("node"))
+    # a key whose nodes step 1 has all joined has nothing left to find
+    rooted = crowd.join(maps.select("node", "root"), "node")
+    open_keys = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    crowd = written(crowd.join(open_keys, "key", "left_semi"))
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowd.select("node")).distinct()
     some = stored(docs, nodes.join(needed, "node").select("node", "row"), width)
 
