@@ -211,39 +211,44 @@ def dedup_passages(docs: DataFrame, window: int = 20, text_col: str = "text", id
     def spots(e: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
         return {k: e[k] for k in ("doc", "tag", "pos")}
 
-    @lean
-    def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
-
-        def flush() -> pa.RecordBatch:
-            entry = {k: np.concatenate([x[k] for x in held]) for k in held[0]}
-            held.clear()
-            first, rest = fold(entry, ["anchor", "reach"])
-            bucket = ((first["anchor"] >> np.uint64(32)) % np.uint64(n_hash)).astype(np.int64)
-            out = [(k, COMPARE, x) for k, x in _by_bucket(bucket, anchor=first["anchor"].astype(np.uint32), reach=first["reach"], **spots(first))]
-            out += [(k, SETTLED, x) for k, x in _by_bucket(_doc_bucket(rest["doc"], rest["tag"], n_doc), **spots(rest))]
-            return _rows(out)
-
-        count = 0
-        for b in slices(batches, "text", 2 << 20):
-            t = _Texts(b.column("doc").to_numpy(zero_copy_only=False), b.column("tag").to_numpy(zero_copy_only=False), raw(b, "text"))
-            if not len(t.h):
-                continue
-            row = np.repeat(np.arange(len(t.n)), t.n)
-            pos = np.arange(len(t.h)) - t.start[row]
-            in_cover = np.isin(np.arange(PERIOD), COVER)
-            at = np.flatnonzero(in_cover[pos % PERIOD] & (pos + short <= t.n[row]) & (t.n[row] >= window))
-            r = row[at]
-            held.append({
-                "anchor": _runs(t.h, at, short, BASE), "reach": _reach(t.h, at, t.start[r], t.end[r], before, after),
-                "doc": t.id[r], "tag": t.tag[r], "pos": pos[at].astype(np.int32),
-            })
-            count += len(at)
-            if count > 500_000:
+    def find_anchors(kind: int):
+        """Messages of one kind. Anchors are found once for either, so that the entries to compare, which are many, go straight to their shuffle."""
+
+        @lean
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[dict] = []
+
+            def flush() -> pa.RecordBatch:
+                entry = {k: np.concatenate([x[k] for x in held]) for k in held[0]}
+                held.clear()
+                first, rest = fold(entry, ["anchor", "reach"])
+                bucket = ((first["anchor"] >> np.uint64(32)) % np.uint64(n_hash)).astype(np.int64)
+                if kind == COMPARE:
+                    return _rows([(k, COMPARE, x) for k, x in _by_bucket(bucket, anchor=first["anchor"].astype(np.uint32), reach=first["reach"], **spots(first))])
+                return _rows([(k, SETTLED, x) for k, x in _by_bucket(_doc_bucket(rest["doc"], rest["tag"], n_doc), **spots(rest))])
+
+            count = 0
+            for b in slices(batches, "text", 2 << 20):
+                t = _Texts(b.column("doc").to_numpy(zero_copy_only=False), b.column("tag").to_numpy(zero_copy_only=False), raw(b, "text"))
+                if not len(t.h):
+                    continue
+                row = np.repeat(np.arange(len(t.n)), t.n)
+                pos = np.arange(len(t.h)) - t.start[row]
+                in_cover = np.isin(np.arange(PERIOD), COVER)
+                at = np.flatnonzero(in_cover[pos % PERIOD] & (pos + short <= t.n[row]) & (t.n[row] >= window))
+                r = row[at]
+                held.append({
+                    "anchor": _runs(t.h, at, short, BASE), "reach": _reach(t.h, at, t.start[r], t.end[r], before, after),
+                    "doc": t.id[r], "tag": t.tag[r], "pos": pos[at].astype(np.int32),
+                })
+                count += len(at)
+                if count > 500_000:
+                    yield flush()
+                    count = 0
+            if held:
                 yield flush()
-                count = 0
-        if held:
-            yield flush()
+
+        return run
 
     @lean_group
     def compare_anchors(t: pa.Table) -> pa.Table:
@@ -325,9 +330,9 @@ def dedup_passages(docs: DataFrame, window: int = 20, text_col: str = "text", id
         n = F.lit(n_doc)
         return df.withColumn("bucket", F.pmod(F.pmod("doc", n) + F.pmod("tag", n), n).cast("int"))
 
-    spread = written(frame.mapInArrow(find_anchors, MESSAGES), "lz4")
-    hot = written(spread.where(f"kind = {COMPARE}").groupBy("bucket").applyInArrow(compare_anchors, MESSAGES), "lz4")
-    known = spread.where(f"kind = {SETTLED}").union(hot)
+    folded = written(frame.mapInArrow(find_anchors(SETTLED), MESSAGES), "lz4")
+    hot = written(frame.mapInArrow(find_anchors(COMPARE), MESSAGES).groupBy("bucket").applyInArrow(compare_anchors, MESSAGES), "lz4")
+    known = folded.union(hot)
     texts = dealt(frame)
     extended = written(texts.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(extend, MESSAGES), "lz4")
     again = extended.where(f"kind = {COMPARE}").groupBy("bucket").applyInArrow(compare_windows, MESSAGES)
