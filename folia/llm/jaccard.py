@@ -7,7 +7,7 @@
    of each: its keys. The order is by hash, with shingles that stand in many sets last, so that boilerplate seldom is
    a key. Sets meet by key. Of the pairs that meet those go that step 1 has joined, and those whose bitmaps (the parity of the shingles that fall
    on a bit) differ in more bits than sets of that similarity have shingles apart; the others are confirmed exactly. Where many sets
-   meet in a key, they are compared together there, and the key gives a spanning forest of its links, not its pairs.
+   meet in a key, they are compared there in parts of bounded size, and a part gives a spanning forest of its links, not its pairs.
 
 Sets are not stored: they are made from the texts where they are needed, and kept only for those that are compared."""
 
@@ -30,6 +30,8 @@ LEAST = (4, 5)
 SEED = 42
 #: Sets that meet in one key: more are compared together.
 SMALL = 32
+#: Sets of one key that are compared in one task: keys of more are cut in parts, then parts are compared with each other.
+CHUNK = 512
 #: Bits of a set's bitmap.
 BITS = 1024
 #: Shingles that go to the end of the order at most; it bounds what the driver gathers and changes cost, not results.
@@ -194,6 +196,47 @@ def meetings(docs: DataFrame, width: int, common: np.ndarray) -> DataFrame:
     return written(docs.select("text").mapInArrow(spread, "bucket int, blob binary").groupBy("bucket").applyInArrow(meet, "a long, b long, many boolean"))
 
 
+def unsettled(crowd: DataFrame, roots: DataFrame, by: list[str]) -> DataFrame:
+    """The rows of crowd (by…, node) whose group has nodes of several roots; a node that roots (node, root) lacks is its own."""
+    rooted = crowd.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = rooted.groupBy(*by).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select(*by)
+    return crowd.join(mixed, by, "left_semi")
+
+
+def parted(crowd: DataFrame) -> DataFrame:
+    """crowd (key, node) with the parts of its key and the part of each node, of about CHUNK nodes each."""
+    sizes = crowd.groupBy("key").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("parts"))
+    return crowd.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("node", F.lit(SEED)), "parts").cast("int"))
+
+
+def together(crowd: DataFrame, sets: DataFrame, by: list[str]) -> DataFrame:
+    """Links that span what reaches LEAST within each group of crowd (by…, node)."""
+
+    def run(t: pa.Table) -> pa.Table:
+        got = forest(t.column("node").to_numpy(), [np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()])
+        return pa.table({"a": pa.array([g[0] for g in got], pa.int64()), "b": pa.array([g[1] for g in got], pa.int64())})
+
+    return crowd.join(sets, "node").select(*by, "node", "shingles").groupBy(*by).applyInArrow(run, "a long, b long")
+
+
+def across(crowd: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
+    """links, and those between the parts of crowded keys, so that no task holds a whole key.
+
+    First one node of each component that a key has is compared, which settles groups of near copies; then, in keys that still hold several
+    components, every two parts that do."""
+    roots = components(links).toDF("node", "root")
+    left = written(unsettled(crowd, roots, ["key"]))
+    rooted = left.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    heads = written(parted(rooted.groupBy("key", "root").agg(F.min("node").alias("node")).select("key", "node")))
+    links = links.union(written(together(heads, sets, ["key", "part"])))
+    roots = components(links).toDF("node", "root")
+    left = parted(unsettled(left, roots, ["key"]))
+    two = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("part <> other")
+    two = two.select("key", F.least("part", "other").alias("lo_part"), F.greatest("part", "other").alias("hi_part"), "node")
+    by = ["key", "lo_part", "hi_part"]
+    return links.union(written(together(written(unsettled(two, roots, by)), sets, by)))
+
+
 def near_duplicates(docs: DataFrame, row_col: str, width: int = 5, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(doc_id, row, root): root names the component of links of LEAST or more.
 
@@ -229,18 +272,13 @@ def near_duplicates(docs: DataFrame, row_col: str, width: int = 5, text_col: str
 
     pairs = met.where("not many").select("a", "b").distinct().join(maps.toDF("a", "xa", "na", "ra"), "a").join(maps.toDF("b", "xb", "nb", "rb"), "b").where("ra <> rb")
     pairs = written(pairs.select("a", "b", "xa", "na", "xb", "nb").mapInArrow(differ, "a long, b long"))
-    crowd = met.where("many").select(F.col("a").alias("key"), F.col("b").alias("node"))
     # a key whose nodes step 1 has all joined has nothing left to find
-    rooted = crowd.join(maps.select("node", "root"), "node")
-    open_keys = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-    crowd = written(crowd.join(open_keys, "key", "left_semi"))
+    crowd = unsettled(met.where("many").select(F.col("a").alias("key"), F.col("b").alias("node")), maps.select("node", "root"), ["key"])
+    crowd = written(parted(crowd))
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowd.select("node")).distinct()
     some = stored(docs, nodes.join(needed, "node").select("node", "row"), width)
-
-    def together(t: pa.Table) -> pa.Table:
-        got = forest(t.column("node").to_numpy(), [np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()])
-        return pa.table({"a": pa.array([g[0] for g in got], pa.int64()), "b": pa.array([g[1] for g in got], pa.int64())})
-
-    more = written(confirmed(pairs, some).union(crowd.join(some, "node").groupBy("key").applyInArrow(together, "a long, b long")))
-    roots = components(sure.union(more)).toDF("node", "root")
+    links = sure.union(written(confirmed(pairs, some).union(together(crowd, some, ["key", "part"]))))
+    if crowd.where("parts > 1").take(1):
+        links = across(crowd.where("parts > 1").select("key", "node"), some, links)
+    roots = components(links).toDF("node", "root")
     return prints.join(roots, "node", "left").select("doc_id", "row", F.coalesce("root", "node").alias("root"))

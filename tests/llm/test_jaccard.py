@@ -5,10 +5,11 @@ from __future__ import annotations
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 import corpus_pipeline as P
-from folia.llm import common
+from folia.llm import common, jaccard
 
 
 def shingles(t, width=5):
@@ -54,12 +55,36 @@ def made():
     return texts + [licence, licence.upper(), "one", "one", "One  two", "", None, " \n"]
 
 
-@pytest.mark.parametrize("which", ["made", "sf0.01"])
-def test_stage_equals_brute_force(spark, which):
-    texts = made() if which == "made" else [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+@pytest.mark.parametrize("which", ["made", "parts", "sf0.01"])
+def test_stage_equals_brute_force(spark, which, monkeypatch):
+    if which == "parts":  # crowded keys in many small parts
+        monkeypatch.setattr(jaccard, "CHUNK", 5)
+    texts = made() if which != "sf0.01" else [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
     docs = common.written(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     root = brute({shingles(t) for t in texts})
     want = {}
     for k, t in enumerate(texts):
         want.setdefault(root[shingles(t)], k)
     assert sorted(r["doc_id"] for r in P.near_duplicates(spark, docs, "").collect()) == sorted(want.values())
+
+
+def test_parts_of_a_crowded_key(spark, monkeypatch):
+    """Chains of near copies that lie in different parts, and sets that are alike to none, all in one key."""
+    monkeypatch.setattr(jaccard, "CHUNK", 4)
+    r = random.Random(5)
+    sets, at = {}, 1
+    for _ in range(4):
+        s = [r.getrandbits(63) for _ in range(60)]
+        for _ in range(12):  # each differs by three shingles from the one before
+            s = s[3:] + [r.getrandbits(63) for _ in range(3)]
+            sets[at], at = frozenset(s), at + 1
+    for _ in range(6):
+        sets[at], at = frozenset(r.getrandbits(63) for _ in range(60)), at + 1
+    stored = common.written(spark.createDataFrame([(k, np.sort(np.array(list(s), np.uint64)).tobytes()) for k, s in sets.items()], "node long, shingles binary"))
+    crowd = common.written(spark.createDataFrame([(7, k) for k in sets], "key long, node long"))
+    links = jaccard.together(jaccard.parted(crowd), stored, ["key", "part"])
+    assert jaccard.parted(crowd).groupBy("part").count().count() > 5
+    root = {x["node"]: x["root"] for x in common.components(jaccard.across(crowd, stored, links)).collect()}
+    want = brute(list(sets.values()))
+    groups = lambda of: {frozenset(k for k in sets if of(k) == v) for v in map(of, sets)}
+    assert groups(lambda k: root.get(k, k)) == groups(lambda k: want[sets[k]])
