@@ -30,22 +30,26 @@ def search(docs: DataFrame, questions: DataFrame, k: int, id_col: str = "doc_id"
 
     Scores are rounded to 6 places, so that copies tie whatever the order of summation. Only terms of the questions leave the documents, so the shuffle follows the matches. Documents
     without any match have score 0 and fill up short lists, smallest id first."""
+    from folia.plans.runtime import materialize
+
     asked = questions.select(F.col(q_id), F.explode(tokens(q_text)).alias("term")).groupBy(q_id, "term").agg(F.count("*").alias("qtf"))
-    terms = asked.select("term").distinct()
-    stats = docs.select(F.coalesce(F.size(tokens(text_col)), F.lit(0)).alias("dl")).agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).first()
-    n, avgdl = stats["n"], stats["avgdl"] or 1.0
-    # the length is taken before tokens become rows, so that it is not worked out again for each of them
-    sized = docs.select(id_col, tokens(text_col).alias("_w")).select(id_col, F.size("_w").alias("dl"), "_w")
-    spread = sized.select(id_col, "dl", F.explode("_w").alias("term"))
-    tf = spread.join(terms, "term", "left_semi").groupBy("term", id_col, "dl").agg(F.count("*").alias("tf"))
-    idf = term_stats(tf, n).select("term", "idf")
+    # one reading of the documents: the empty term, which no text has, gives each its length
+    terms = asked.select("term").union(docs.sparkSession.createDataFrame([("",)], "term string")).distinct()
+    sized = docs.select(id_col, F.coalesce(tokens(text_col), F.array().cast("array<string>")).alias("_w"))
+    spread = sized.select(id_col, F.size("_w").alias("dl"), F.explode(F.array_append("_w", F.lit(""))).alias("term"))
+    tf = materialize(spread.join(terms, "term", "left_semi").groupBy("term", id_col, "dl").agg(F.count("*").alias("tf")))
+    every = tf.where("term = ''")
+    stats = every.agg(F.sum("tf").alias("n"), (F.sum(F.col("tf") * F.col("dl")) / F.sum("tf")).alias("avgdl")).first()
+    n, avgdl = stats["n"] or 0, stats["avgdl"] or 1.0
+    found = tf.where("term <> ''")
+    idf = term_stats(found, n).select("term", "idf")
     part = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / avgdl))
-    scored = (
-        asked.join(idf, "term").join(tf.select("term", id_col, part.alias("w")), "term")
+    scored = materialize(
+        asked.join(idf, "term").join(found.select("term", id_col, part.alias("w")), "term")
         .groupBy(q_id, id_col).agg(F.round(F.sum(F.col("qtf") * F.col("idf") * F.col("w")), 6).alias("score"))
     )
     # as many of the smallest ids as could be needed when the first k all match
-    spare = [r[0] for r in docs.select(id_col).orderBy(id_col).limit(2 * k).collect()]
+    spare = [r[0] for r in every.select(id_col).orderBy(id_col).limit(2 * k).collect()]
     few = questions.select(q_id).join(scored.groupBy(q_id).agg(F.count("*").alias("hits")), q_id, "left").where(f"coalesce(hits, 0) < {k}")
     fill = few.select(q_id, F.explode(F.array(*[F.lit(x) for x in spare])).alias(id_col)) if spare else None
     if fill is not None:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+import math
+import operator
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,25 +46,47 @@ def _front(m: np.ndarray) -> np.ndarray:
     return np.array(kept, int)
 
 
-def skyline(df: DataFrame, dims: list[str], rounds: int = 3) -> DataFrame:
-    """Rows on the Pareto front of any number of maximised columns: local fronts of batches first, then fronts of fewer and fewer partitions."""
+def skyline(df: DataFrame, dims: list[str], cells: int = 4096) -> DataFrame:
+    """Rows on the Pareto front of any number of maximised columns; ties stay, rows with a null or NaN among them go.
+
+    Each Arrow batch gives its own front. Of these rows go those whose cell of a grid another cell tops in every dimension; the grid has `cells` cells
+    at most, so the tables of cells and of pairs of cells are bounded. The rest is held against the rows of cells that can beat it, by an anti join on the cell: no step takes one partition."""
     ship(df.sparkSession)
+    for c in dims:
+        df = df.where(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")))
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            # ranks compare as the values do, whatever their type
+            ranks = [np.unique(b.column(c).to_numpy(zero_copy_only=False), return_inverse=True)[1] for c in dims]
+            yield b.take(pa.array(_front(np.stack(ranks, axis=1)))) if b.num_rows else b
+
+    # some dimensions are not cut where they are too many for the number of cells
+    cut = dims[: max(1, int(math.log2(cells)))]
+    per = max(2, int(cells ** (1 / len(cut))))
+    finite = [F.when(F.abs(F.col(c).cast("double")) < float("inf"), F.col(c).cast("double")) for c in cut]
+    edge = df.agg(*[f(x).alias(f"{n}{i}") for i, x in enumerate(finite) for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    place = []
+    for i, c in enumerate(cut):
+        lo, hi = edge[f"lo{i}"] or 0.0, edge[f"hi{i}"] or 0.0
+        step = (hi / per - lo / per) or 1.0
+        place.append(F.floor(F.least(F.greatest((F.col(c).cast("double") - F.lit(lo)) / F.lit(step), F.lit(0.0)), F.lit(per - 1.0))).cast("int"))
+    from folia.plans.runtime import materialize
 
-    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for x in batches:
-            x = x.dropna(subset=dims)
-            held = x if held is None else pd.concat([held, x], ignore_index=True)
-            if len(held):
-                held = held.iloc[_front(held[dims].to_numpy(float))].reset_index(drop=True)
-        if held is not None:
-            yield held
-
-    out, parts = df.mapInPandas(local, df.schema), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    for r in range(rounds):
-        parts = 1 if r == rounds - 1 else max(1, parts // 8)
-        out = out.repartition(parts).mapInPandas(local, df.schema)
-    return out
+    rows = materialize(df.mapInArrow(local, df.schema).withColumn("_cell", F.array(*place)))
+    grid = rows.select("_cell").distinct()
+    at = lambda n: [F.col(n)[i] for i in range(len(cut))]
+    every = lambda tests: functools.reduce(operator.and_, tests)
+    pairs = grid.select(F.col("_cell").alias("x")).join(grid.select(F.col("_cell").alias("y")), every([y >= x for x, y in zip(at("x"), at("y"))]))
+    pairs = materialize(pairs)
+    if len(cut) == len(dims):
+        pairs = pairs.join(pairs.where(every([y > x for x, y in zip(at("x"), at("y"))])).select("x").distinct(), "x", "left_anti")
+    points = rows.select("_cell", *dims).distinct()
+    better = points.join(pairs.withColumnRenamed("y", "_cell"), "_cell").select(F.col("x").alias("_of"), *[F.col(c).alias(f"_b{i}") for i, c in enumerate(dims)])
+    rows = rows.join(pairs.select(F.col("x").alias("_cell")).distinct(), "_cell", "left_semi")
+    mine = [(F.col(c), F.col(f"_b{i}")) for i, c in enumerate(dims)]
+    beaten = every([F.col("_cell") == F.col("_of"), *[b >= a for a, b in mine], functools.reduce(operator.or_, [b > a for a, b in mine])])
+    return rows.join(better, beaten, "left_anti").select(*df.columns)
 
 
 def with_fallback(df: DataFrame, front: DataFrame, id_col: str, scores: list[str], k: int, extra: int = 5) -> DataFrame:
