@@ -219,22 +219,33 @@ def together(crowd: DataFrame, sets: DataFrame, by: list[str]) -> DataFrame:
     return crowd.join(sets, "node").select(*by, "node", "shingles").groupBy(*by).applyInArrow(run, "a long, b long")
 
 
-def across(crowd: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
-    """links, and those between the parts of crowded keys, so that no task holds a whole key.
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """roots (node, root) after further links (a, b): only the links between components are contracted."""
+    ends = links.join(roots.toDF("a", "ra"), "a", "left").join(roots.toDF("b", "rb"), "b", "left")
+    top = components(ends.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))).toDF("root", "top")
+    known = roots.join(top, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    fresh = top.join(roots.select(F.col("node").alias("root")), "root", "left_anti").select(F.col("root").alias("node"), F.col("top").alias("root"))
+    return written(known.union(fresh))
+
+
+def across(crowd: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """roots after the links between the parts of crowded keys (key, node), so that no task holds a whole key.
 
     First one node of each component that a key has is compared, which settles groups of near copies; then, in keys that still hold several
     components, every two parts that do."""
-    roots = components(links).toDF("node", "root")
     left = written(unsettled(crowd, roots, ["key"]))
+    if not left.take(1):
+        return roots
     rooted = left.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = written(parted(rooted.groupBy("key", "root").agg(F.min("node").alias("node")).select("key", "node")))
-    links = links.union(written(together(heads, sets, ["key", "part"])))
-    roots = components(links).toDF("node", "root")
-    left = parted(unsettled(left, roots, ["key"]))
+    roots = merged(roots, together(heads, sets, ["key", "part"]))
+    left = written(parted(unsettled(left, roots, ["key"])))
+    if not left.take(1):
+        return roots
     two = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("part <> other")
     two = two.select("key", F.least("part", "other").alias("lo_part"), F.greatest("part", "other").alias("hi_part"), "node")
     by = ["key", "lo_part", "hi_part"]
-    return links.union(written(together(written(unsettled(two, roots, by)), sets, by)))
+    return merged(roots, together(written(unsettled(two, roots, by)), sets, by))
 
 
 def near_duplicates(docs: DataFrame, row_col: str, width: int = 5, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -277,8 +288,7 @@ def near_duplicates(docs: DataFrame, row_col: str, width: int = 5, text_col: str
     crowd = written(parted(crowd))
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowd.select("node")).distinct()
     some = stored(docs, nodes.join(needed, "node").select("node", "row"), width)
-    links = sure.union(written(confirmed(pairs, some).union(together(crowd, some, ["key", "part"]))))
+    roots = merged(joined, confirmed(pairs, some).union(together(crowd, some, ["key", "part"])))
     if crowd.where("parts > 1").take(1):
-        links = across(crowd.where("parts > 1").select("key", "node"), some, links)
-    roots = components(links).toDF("node", "root")
+        roots = across(crowd.where("parts > 1").select("key", "node"), some, roots)
     return prints.join(roots, "node", "left").select("doc_id", "row", F.coalesce("root", "node").alias("root"))

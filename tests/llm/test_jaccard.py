@@ -84,7 +84,7 @@ def test_parts_of_a_crowded_key(spark, monkeypatch):
     crowd = common.written(spark.createDataFrame([(7, k) for k in sets], "key long, node long"))
     links = jaccard.together(jaccard.parted(crowd), stored, ["key", "part"])
     assert jaccard.parted(crowd).groupBy("part").count().count() > 5
-    root = {x["node"]: x["root"] for x in common.components(jaccard.across(crowd, stored, links)).collect()}
+    root = {x["node"]: x["root"] for x in jaccard.across(crowd, stored, common.components(links)).collect()}
     want = brute(list(sets.values()))
     groups = lambda of: {frozenset(k for k in sets if of(k) == v) for v in map(of, sets)}
     assert groups(lambda k: root.get(k, k)) == groups(lambda k: want[sets[k]])
