@@ -18,6 +18,6 @@ def test_assignment_is_the_optimum():
 
 
 def test_query_takes_whole_turns(spark, tiny):
-    p = metric_queries.pairs(spark, tiny, whole=True)
+    p = metric_queries.pairs(spark, tiny)
     assert p.where("size(split(gold, ' ')) > 12").count() > 0
     assert metric_queries.metric_aligned_f1(spark, tiny).count() == p.count()
