@@ -147,37 +147,33 @@ def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.cumsum(d[:n]) > 0
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, hops: int = 3, max_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of `edges` (a, b long), by repeated contraction.
 
-    Each round every node adopts the neighbour (or itself) with the smallest
-    pseudo-random rank of that round; edges are rewritten between the adopted
-    nodes until none is left. Only aggregates of one row reach the driver; each
-    round is a written table."""
+    Each round every node adopts that of the nodes within `hops` links with the smallest
+    pseudo-random rank of the round; edges are rewritten between the adopted
+    nodes until none is left. Then the rounds are followed from the last to the first. Only aggregates of one row reach the driver;
+    each round is two written tables."""
     edges = written(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    labels = None
-    for r in range(max_rounds):
-        if not edges.take(1):
-            break
-        rank = lambda c: F.struct(F.xxhash64(c, F.lit(r)).alias("h"), c.alias("v"))
+    rounds = []
+    while edges.take(1):
+        if len(rounds) == max_rounds:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        rank = lambda c: F.struct(F.xxhash64(c, F.lit(len(rounds))).alias("h"), F.col(c).alias("v"))  # noqa: B023, E731
         ends = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).toDF("v", "w")
-        best = ends.groupBy("v").agg(F.min(rank(F.col("w"))).alias("m"))
-        best = best.select("v", F.least(F.col("m"), rank(F.col("v")))["v"].alias("p"))
-        best = written(best)
-        if labels is None:
-            labels = best.toDF("node", "root")
-        else:
-            step = best.toDF("root", "p")
-            labels = labels.join(step, "root", "left").select("node", F.coalesce("p", "root").alias("root"))
-        labels = written(labels)
-        a = best.toDF("a", "pa")
-        b = best.toDF("b", "pb")
+        best = ends.groupBy("v").agg(F.min(rank("w")).alias("m")).select("v", F.least("m", rank("v")).alias("m"))
+        for _ in range(hops - 1):
+            best = ends.join(best.toDF("w", "m"), "w").groupBy("v").agg(F.min("m").alias("m"))
+        best = written(best.select("v", F.col("m")["v"].alias("p")))
+        rounds.append(best)
         edges = written(
-            edges.join(a, "a").join(b, "b").where("pa <> pb")
+            edges.join(best.toDF("a", "pa"), "a").join(best.toDF("b", "pb"), "b").where("pa <> pb")
             .select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct()
         )
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    if labels is None:
+    if not rounds:
         return edges.sparkSession.createDataFrame([], "node long, root long")
-    return labels
+    labels = rounds.pop().toDF("node", "root")
+    while rounds:
+        later = labels.toDF("p", "root")
+        labels = rounds.pop().toDF("node", "p").join(later, "p", "left").select("node", F.coalesce("root", "p").alias("root"))
+    return written(labels)
