@@ -52,6 +52,40 @@ def allocate(scales: DataFrame, key: str, scale: str, total: int, least: int) ->
     return t.withColumn("_r", r).withColumn("n", F.col("n") + F.when((F.col("_r") <= abs(gap)) & can, F.lit(step)).otherwise(F.lit(0))).drop("_r")
 
 
+def parent_child_groups(children: DataFrame, parent: str, child: str, seed: int, most: int = 3) -> DataFrame:
+    """(parent, nodes): each parent with one to `most` of its children by draw, the number by draw too; nodes has the parent first, then the children in order."""
+    w = Window.partitionBy(parent).orderBy(draw(seed, child), child)
+    t = children.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= most).where(F.col("_r") <= 1 + F.floor(uniform(seed, parent) * most))
+    return t.groupBy(parent).agg(F.concat(F.array(F.first(parent)), F.sort_array(F.collect_list(child))).alias("nodes"))
+
+
+def cross_section_groups(children: DataFrame, section: str, child: str, seed: int, most: int = 20) -> DataFrame:
+    """(g, nodes): up to `most` groups, and two for each section, of one child from each of two or three sections; all by draw.
+
+    Sections without children take no part. Children are aggregated, not numbered, so a large section is no large task."""
+    n = children.select(section).distinct().count()
+    if n < 2:
+        return children.sparkSession.createDataFrame([], "g int, nodes array<string>")
+    rounds = range(min(most, 2 * n))
+    of = children.groupBy(section).agg(*[F.min(F.struct(draw(seed, F.lit(g), child).alias("d"), F.col(child).cast("string").alias("v")))["v"].alias(f"_{g}") for g in rounds])
+    t = of.select(section, F.posexplode(F.array(*[f"_{g}" for g in rounds])).alias("g", "_v"))
+    w = Window.partitionBy("g").orderBy(draw(seed + 1, "g", section), section)
+    t = t.withColumn("_r", F.row_number().over(w)).where("_r <= 3").where(F.col("_r") <= 2 + F.floor(uniform(seed, "g") * 2))
+    return t.groupBy("g").agg(F.sort_array(F.collect_list("_v")).alias("nodes"))
+
+
+def mixed_groups(sources: dict[str, DataFrame], total: int, seed: int) -> DataFrame:
+    """(method, nodes): `total` groups in equal parts of the sources by draw; the last source takes what division leaves. A source that has too few gives all."""
+    part = max(1, total // len(sources))
+    out = None
+    for k, (name, groups) in enumerate(sources.items()):
+        want = part if k + 1 < len(sources) else max(0, total - part * k)
+        nodes = F.array_join(F.transform("nodes", lambda x: x.cast("string")), ",")
+        took = groups.select(F.lit(name).alias("method"), "nodes").orderBy(draw(seed, F.lit(name), nodes), nodes).limit(want)
+        out = took if out is None else out.unionByName(took)
+    return out
+
+
 def weighted_sample(df: DataFrame, id_col: str, weight: str, k: int, seed: int) -> DataFrame:
     """k rows without replacement, in proportion to weight (exponential keys)."""
     key = -F.log(uniform(seed, id_col) + 1e-300) / F.col(weight)

@@ -99,6 +99,48 @@ def sibling_groups(spark, d):
     return g.where("n >= 2").select("parent_id", "g", "nodes")
 
 
+_U = lambda key: f"('0x' || substr(md5({key}), 1, 13))::BIGINT / 4503599627370496.0"
+_PAIRED = f"""pc AS (SELECT parent_id, parent_id || ',' || string_agg(node_id, ',' ORDER BY node_id) AS nodes FROM (SELECT parent_id, node_id, row_number() OVER (PARTITION BY parent_id ORDER BY md5('11|' || node_id), node_id) AS r FROM t WHERE kind = 'order')
+    WHERE r <= 1 + floor({_U("'11|' || parent_id")} * 3) GROUP BY 1)"""
+_CROSSED = f"""cn AS (SELECT node_id, parent_id FROM t WHERE kind = 'customer'), cg AS (SELECT unnest(range(least(20, 2 * (SELECT count(DISTINCT parent_id) FROM cn)))) AS g),
+    cx AS (SELECT g, parent_id, node_id FROM (SELECT *, row_number() OVER (PARTITION BY g, parent_id ORDER BY md5('13|' || g || '|' || node_id), node_id) AS r FROM cn, cg) WHERE r = 1),
+    cs AS (SELECT g::INT AS g, string_agg(node_id, ',' ORDER BY node_id) AS nodes FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY md5('14|' || g || '|' || parent_id), parent_id) AS r FROM cx) WHERE r <= 2 + floor({_U("'13|' || g")} * 2) GROUP BY 1)"""
+
+
+def _joined(groups):
+    return groups.withColumn("nodes", F.array_join("nodes", ","))
+
+
+def _paired(spark, d):
+    return sampling.parent_child_groups(hierarchy(spark, d, False).where("kind = 'order'"), "parent_id", "node_id", 11)
+
+
+def _crossed(spark, d):
+    return sampling.cross_section_groups(hierarchy(spark, d, False).where("kind = 'customer'"), "parent_id", "node_id", 13)
+
+
+@query(_sql(False) + f", {_PAIRED} SELECT parent_id, nodes FROM pc")
+def parent_child_groups(spark, d):
+    """Every customer with one to three of the orders."""
+    return _joined(_paired(spark, d))
+
+
+@query(_sql(False) + f", {_CROSSED} SELECT g, nodes FROM cs")
+def cross_section_groups(spark, d):
+    """Customers of two or three nations in up to twenty groups."""
+    return _joined(_crossed(spark, d))
+
+
+@query(_sql(False) + f""", {_PAIRED}, {_CROSSED}, sr AS (SELECT parent_id, node_id, row_number() OVER (PARTITION BY parent_id ORDER BY md5('9|' || node_id), node_id) - 1 AS k FROM t WHERE kind = 'order'),
+    sg AS (SELECT nodes FROM (SELECT parent_id, k // 3 AS g, string_agg(node_id, ',' ORDER BY node_id) AS nodes, count(*) AS n FROM sr GROUP BY ALL) WHERE n >= 2),
+    u AS (SELECT 'sibling' AS method, nodes, 16 AS want FROM sg UNION ALL SELECT 'parent_child', nodes, 16 FROM pc UNION ALL SELECT 'cross_section', nodes, 18 FROM cs)
+    SELECT method, nodes FROM (SELECT *, row_number() OVER (PARTITION BY method ORDER BY md5('17|' || method || '|' || nodes), nodes) AS r FROM u) WHERE r <= want""")
+def mixed_groups(spark, d):
+    """Fifty groups of nodes: siblings, parents with children, and across sections, in thirds."""
+    siblings = sibling_groups(spark, d).select(F.split("nodes", ",").alias("nodes"))
+    return _joined(sampling.mixed_groups({"sibling": siblings, "parent_child": _paired(spark, d), "cross_section": _crossed(spark, d)}, 50, 17))
+
+
 @query()
 def cluster_tree(spark, d):
     """Soft clusters of the vectors; an iterative fit, so rows alone are compared."""

@@ -45,6 +45,27 @@ def html_grid(spark, d):
     return g.select("page_id", F.size("grid").alias("n_rows"), html_tables.header_rows(F.col("grid")).alias("n_header"), html_tables.table_text("grid", F.lit("Links"), F.lit("")).alias("text"))
 
 
+@query("""WITH l AS (SELECT l_orderkey, l_linenumber, [l_returnflag, CASE WHEN l_orderkey % 5 = 0 THEN l_returnflag ELSE l_linestatus END, CASE WHEN l_linenumber <= l_orderkey % 4 THEN 'unit' ELSE l_quantity::BIGINT || '%' END,
+        CASE WHEN l_linenumber <= l_orderkey % 3 THEN 'supplier ' || l_linenumber ELSE l_suppkey::VARCHAR END] AS r FROM lineitem),
+    o AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, r) - 1 AS i, count(*) OVER (PARTITION BY l_orderkey) AS n, lead(r) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, r) AS s FROM l),
+    c AS (SELECT l_orderkey, i, n, generate_subscripts(r, 1) AS j, unnest(r) AS a, unnest(s) AS b FROM o WHERE i < least(3, n - 1)),
+    m AS (SELECT *, a <> '' AND a = lead(a) OVER (PARTITION BY l_orderkey, i ORDER BY j) AS span, try_cast(replace(a, '%', '') AS DOUBLE) IS NOT NULL AS x, try_cast(replace(b, '%', '') AS DOUBLE) IS NOT NULL AS y FROM c),
+    f AS (SELECT l_orderkey, i, coalesce(bool_or(span), false) OR 3 * count(*) FILTER (WHERE NOT x AND y) > 4 OR 2 * count(*) FILTER (WHERE x <> y) > 4
+        OR (i = 0 AND NOT bool_or(x OR y) AND 2 * count(*) FILTER (WHERE a <> b) > 4) AS header FROM m GROUP BY l_orderkey, i)
+    SELECT l_orderkey, max(n) AS n_rows, CASE WHEN max(n) = 1 THEN 1 ELSE coalesce(min(i) FILTER (WHERE NOT header), least(3, max(n) - 1)) END::INT AS n_header FROM o LEFT JOIN f USING (l_orderkey, i) GROUP BY 1""")
+def table_headers(spark, d):
+    """Header rows of a grid for each order, a row for each of its lines."""
+    order, line = F.col("l_orderkey"), F.col("l_linenumber")
+    cells = F.array(
+        F.col("l_returnflag"),
+        F.when(order % 5 == 0, F.col("l_returnflag")).otherwise(F.col("l_linestatus")),
+        F.when(line <= order % 4, "unit").otherwise(F.concat(F.col("l_quantity").cast("long").cast("string"), F.lit("%"))),
+        F.when(line <= order % 3, F.concat(F.lit("supplier "), line.cast("string"))).otherwise(F.col("l_suppkey").cast("string")),
+    )
+    g = table(spark, d, "lineitem").select("l_orderkey", F.struct(line.alias("k"), cells.alias("cells")).alias("x")).groupBy("l_orderkey").agg(F.sort_array(F.collect_list("x"))["cells"].alias("grid"))
+    return g.select("l_orderkey", F.size("grid").cast("long").alias("n_rows"), html_tables.detected_headers(F.col("grid")).cast("int").alias("n_header"))
+
+
 @query("""SELECT epoch_us(time_bucket(INTERVAL 1 HOUR, ts)) AS hour_us, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL""")
 def hourly_events(spark, d):
     """The batch form of the streaming window; tests run the stream over the same files."""

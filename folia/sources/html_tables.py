@@ -75,6 +75,33 @@ def header_rows(g: Column, most: int = 3) -> Column:
     return F.when(F.size(g) <= 1, F.lit(0)).when(first <= 0, F.lit(1)).otherwise(F.least(first, F.lit(most)))
 
 
+def detected_headers(g: Column, most: int = 3) -> Column:
+    """Number of leading header rows of a grid, judged by each row and the next, of the first `most` rows and never of the last.
+
+    A row is header where equal cells stand side by side, where over a third of the columns turn from text to number, or over half change between
+    the two; the first row also where both rows are text and over half of the cells differ. A grid of one row is header, an empty or null one has none.
+    `header_rows` is the plainer rule that `table_text` uses."""
+    plain = lambda c: F.regexp_replace(c, "[%(),]", "").rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$")
+    width = F.array_max(F.transform(g, F.size))
+    count = lambda cells, test: F.size(F.filter(cells, test))
+
+    def is_header(i: Column) -> Column:
+        now = F.get(g, i)
+        pairs = F.slice(F.arrays_zip(now.alias("a"), F.get(g, i + 1).alias("b")), 1, F.least(F.size(now), F.size(F.get(g, i + 1))))
+        beside = F.arrays_zip(now.alias("a"), F.slice(now, 2, F.greatest(F.size(now) - 1, F.lit(0))).alias("b"))
+        spans = F.exists(beside, lambda x: (x["a"] != "") & x["a"].eqNullSafe(x["b"]))
+        turned = count(pairs, lambda x: ~plain(x["a"]) & plain(x["b"]))
+        changed = count(pairs, lambda x: plain(x["a"]) != plain(x["b"]))
+        worded = ~F.exists(F.concat(now, F.get(g, i + 1)), plain)
+        differs = count(pairs, lambda x: x["a"] != x["b"])
+        return spans | (3 * turned > width) | (2 * changed > width) | ((i == 0) & worded & (2 * differs > width))
+
+    depth = F.least(F.lit(most), F.size(g) - 1)
+    flags = F.transform(F.sequence(F.lit(0), depth - 1), is_header)
+    stop = F.array_position(flags, False).cast("int")
+    return F.when(F.coalesce(F.size(g), F.lit(0)) <= 0, F.lit(0)).when(F.size(g) == 1, F.lit(1)).otherwise(F.when(stop > 0, stop - 1).otherwise(depth))
+
+
 def column_names(g: Column, n_header: Column) -> Column:
     """Header cells of each column from top to bottom, joined by ' > ', repeats left out."""
     width = F.size(F.get(g, F.lit(0)))

@@ -191,3 +191,13 @@ def test_extraction(spark):
     assert [x["a"] for x in got] == ["1", "2", None] and got[0]["l"] == "[1, 2]" and got[0]["m"] == {"k": "2"}
     m = E.mentions(spark.createDataFrame([(1, "The tower of Pisa leans. With Rome near Pisa too.")], "id int, t string"), "id", "t").collect()
     assert sorted((x["sentence"], x["name"], x["n"]) for x in m) == [(0, "pisa", 1), (1, "pisa", 1)] or sorted((x["sentence"], x["name"]) for x in m) == [(0, "pisa"), (1, "pisa"), (1, "rome")]
+
+
+def test_detected_headers(spark):
+    grids = [
+        ([], 0), ([["a", "b"]], 1), ([["k", "size"], ["x", "1"], ["y", "2"]], 1), ([["k", "k"], ["name", "n"], ["x", "3"]], 2),
+        ([["1", "2"], ["3", "4"]], 0), ([["name", "town"], ["Ann", "Rome"], ["Bo", "Rome"]], 1), ([["a", "a"]] * 6, 3), ([["x", "y"], ["x", "y"]], 0), ([["share"], ["(1,234%)"]], 1), ([["n"], ["1d"]], 1),
+    ]
+    df = spark.createDataFrame([(k, g) for k, (g, _) in enumerate(grids)] + [(len(grids), None)], "k int, g array<array<string>>")
+    got = {r["k"]: r["n"] for r in df.select("k", html_tables.detected_headers(F.col("g")).alias("n")).collect()}
+    assert got == {k: n for k, (_, n) in enumerate(grids)} | {len(grids): 0}
