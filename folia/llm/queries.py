@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folia.llm import bpe, crosspolytope, huffman, langid, mixing, repetition, sharding, simhash, substring_dedup, warc
+from folia.llm import alignment, bpe, crosspolytope, huffman, langid, mixing, repetition, sharding, simhash, substring_dedup, warc
 from folia.session import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,9 +61,16 @@ def op10_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crosspolytope.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = alignment.align_tokenizers(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    return out.select("doc_id", *alignment.FIGURES, digest.alias("groups_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_kd_shards, op2_cube_mix, op3_zstd_language, op4_indexed_warc, op5_suffix_repetition,
     op6_pair_index_bpe, op7_difference_cover, op8_anchor_simhash, op9_huffman_ids, op10_cross_polytope,
+    op11_token_alignment,
 )}
 
 # Fixed value: the RFC 4648 alphabet of base 32.
