@@ -318,9 +318,10 @@ def collocations(docs: DataFrame, support: int = 30, top: int = 2000, shards: in
     score = F.expr("cast(2000000 as decimal(7, 0)) * cast(a as decimal(20, 0)) div (cast(l as decimal(20, 0)) + cast(r as decimal(20, 0)))")
     best = cuts.groupBy("lang", "phrase").agg(F.first("a").alias("a"), F.min(F.struct(score.cast("long").alias("score"), "k", "l", "r")).alias("cut"))
     best = best.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
-    # the best of parts of a language, then of what these leave: no language is ranked in one task whole
+    # places by ranges of the order: inside a range by rows, before it by counts, so no language is ranked in one task
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    part = F.pmod(F.xxhash64("phrase"), F.lit(buckets(docs.sparkSession, 1)))
-    near = best.withColumn("part", part).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= top)
-    near = near.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
+    ranged = written(best.repartitionByRange(buckets(docs.sparkSession, 1), F.col("lang"), *order).withColumn("part", F.spark_partition_id()))
+    before = F.sum("size").over(Window.partitionBy("lang").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = ranged.groupBy("lang", "part").agg(F.count("*").alias("size")).withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < top)
+    near = ranged.join(sizes, ["lang", "part"]).withColumn("rank", F.col("before") + F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= top)
     return near.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
