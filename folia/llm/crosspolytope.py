@@ -80,9 +80,14 @@ def probed(x: np.ndarray, seeds: list[int], probes: int) -> np.ndarray:
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Rows of a column of vectors, each scaled by a power of two."""
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     n = len(flat)
-    return flat.flatten().to_numpy(zero_copy_only=False).reshape(n, -1).astype(np.float64) if n else np.zeros((0, 1))
+    if not n:
+        return np.zeros((0, 1))
+    x = flat.flatten().to_numpy(zero_copy_only=False).reshape(n, -1).astype(np.float64)
+    # a power of two for each row brings its largest component to between a half and one: no square over- or underflows, no digit changes
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
 
 
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -44,3 +44,29 @@ def test_tight_cluster_and_queries_outside(spark, monkeypatch):
     got = nearest(spark, ids, x)
     assert set(got) == set(asked.tolist()) and all(len(v) == 5 for v in got.values())
     assert sum(got[q] == brute(ids, x, q) for q in asked.tolist()) >= 5
+
+
+def test_finite_vectors_of_any_size(spark):
+    """Components whose squares over- or underflow, among usual ones; scaling by a power of two changes no score."""
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(300, 16))
+    scale = np.ones(300)
+    scale[::7], scale[1::7], scale[2::7] = 1e200, 1e-200, 2.0**-1000
+    scale[50], scale[100] = 1e-200, 1e200
+    x = base * scale[:, None]
+    rows = [(int(i), v.tolist()) for i, v in enumerate(x)]
+    got = crosspolytope.nearest(common.written(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), probes=32).orderBy("query_id", "rank").collect()
+    by = defaultdict(list)
+    for r in got:
+        assert np.isfinite(r["score"])
+        by[r["query_id"]].append(r["vec_id"])
+    ids = np.arange(300)
+    assert {q: v for q, v in by.items()} == {q: brute(ids, base, q) for q in range(0, 300, 50)}
+
+
+def test_one_id_with_several_vectors(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(60, 8))
+    rows = [(int(i % 50), v.tolist()) for i, v in enumerate(x)]
+    got = crosspolytope.nearest(common.written(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))).collect()
+    assert {r["query_id"] for r in got} == {0} and len(got) == 5 and len({r["vec_id"] for r in got}) == 5 and 0 not in {r["vec_id"] for r in got}
