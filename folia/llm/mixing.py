@@ -93,6 +93,25 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), mos
     return per.select("source", "source_size", F.least(F.col("weight") * F.lit(level or 0.0), cap).alias("target"))
 
 
+def repeats(t: DataFrame) -> DataFrame | None:
+    """(row, repeat): numbers from 0 of the rows that share doc_id and text_hash with others; None if there are none.
+
+    Rows are numbered inside runs of 2^20 row numbers, and runs are moved by the counts before them: no group is numbered whole in one task."""
+    key = ["doc_id", "text_hash"]
+    many = t.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    same = [F.col(f"t.{c}").eqNullSafe(F.col(f"m.{c}")) for c in key]
+    few = t.alias("t").join(many.alias("m"), same, "left_semi").select("row", *key, F.shiftright("row", 20).alias("run"))
+    few = written(few)
+    if not few.take(1):
+        return None
+    sizes = few.groupBy(*key, "run").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy(*key).orderBy("run").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.withColumn("before", F.coalesce(before, F.lit(0)))
+    at = few.withColumn("at", F.row_number().over(Window.partitionBy(*key, "run").orderBy("row")) - 1)
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"s.{c}")) for c in (*key, "run")]
+    return at.alias("a").join(sizes.alias("s"), same).select("a.row", (F.col("at") + F.col("before")).alias("repeat"))
+
+
 def mix_sources(
     docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3.0, seed: int = 7,
     text_col: str = "text", id_col: str = "doc_id", source_col: str = "source", row_col: str | None = None,
@@ -113,6 +132,8 @@ def mix_sources(
         (F.col(row_col).cast("long") if row_col else F.monotonically_increasing_id()).alias("row"),
     )
     t = written(t)
+    again = repeats(t)
+    t = t.withColumn("repeat", F.lit(0).cast("long")) if again is None else t.join(again, "row", "left").withColumn("repeat", F.coalesce("repeat", F.lit(0).cast("long")))
     targets = source_targets(t, weights, most)
     rows = t.join(targets, t["source"].eqNullSafe(targets["source"])).drop(targets["source"])
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -122,7 +143,8 @@ def mix_sources(
     parts = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
     most_parts = counts.agg(F.max(parts)).first()[0] or 1
     rows = rows.join(counts, rows["source"].eqNullSafe(counts["source"])).drop(counts["source"]).withColumn("parts", parts)
-    order = F.xxhash64("doc_id", "text_hash", F.lit(seed))
+    # rows that repeat id and text are dealt out by their number among themselves
+    order = F.when(F.col("repeat") == 0, F.xxhash64("doc_id", "text_hash", F.lit(seed))).otherwise(F.xxhash64("doc_id", "text_hash", F.lit(seed), "repeat"))
     left = rows.where(f"p > {EPS} and size > 0").select("row", "source", "size", "p", order.alias("draw"), "parts")
 
     def flight(key: tuple, t: pa.Table) -> pa.Table:
