@@ -21,16 +21,16 @@ def markdown_blocks(spark, d):
     return b.groupBy("doc_id", "type").agg(F.sum(n).cast("long").alias("n_lines"), F.count("*").alias("n_blocks"))
 
 
-@query("""SELECT page_id, len(regexp_extract_all(html, '<li>')) AS n_items, array_to_string(list_transform(regexp_extract_all(html, 'href="([^"]*)"', 1)[1:3], lambda x: x), ' ') AS links FROM pages""")
+@query("""SELECT page_id, len(regexp_extract_all(html, '<li>')) AS n_items, array_to_string(regexp_extract_all(html, 'href="([^"]*)"', 1), ' ') AS links FROM pages""")
 def page_links(spark, d):
     links = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), 1)
-    return table(spark, d, "pages").select("page_id", F.regexp_count("html", F.lit("<li>")).cast("long").alias("n_items"), F.array_join(F.slice(links, 1, 3), " ").alias("links"))
+    return table(spark, d, "pages").select("page_id", F.regexp_count("html", F.lit("<li>")).cast("long").alias("n_items"), F.array_join(links, " ").alias("links"))
 
 
 @query("""WITH l AS (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS l FROM pages)
     SELECT page_id, unnest(l) AS link, generate_subscripts(l, 1) AS position FROM l""")
 def page_links_all(spark, d):
-    """Every link of each page, by position from 1; page_links has the first three alone."""
+    """Every link of each page, by position from 1."""
     links = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), 1)
     return table(spark, d, "pages").select("page_id", F.posexplode(links).alias("position", "link")).withColumn("position", F.col("position") + 1)
 

@@ -65,18 +65,31 @@ def _lines(spark, d):
     return table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line")).withColumn("pos", F.col("pos") + 1)
 
 
-@query(f"""WITH {_LINES}
-    SELECT doc_id, pos::INT AS pos FROM l WHERE length(line) > 0 AND (regexp_matches(line, '(\\.\\s*\\..*?){{2,}}')
-        OR (length(line) < 80 AND regexp_matches(line, '[.\\s]{{2,}}\\d') AND length(regexp_replace(line, '[^.\\s]', '', 'g')) / length(line) > 0.25))""")
+# menus of pages as lines of contents: every item with leaders by its length, and its position for a page
+_MENU = r"""i AS (SELECT page_id, regexp_extract_all(html, '<li>(.*?)</li>', 1) AS i FROM pages),
+    l AS (SELECT page_id, generate_subscripts(i, 1) AS pos, regexp_replace(unnest(i), '<[^>]+>', '', 'g') AS name FROM i),
+    m AS (SELECT page_id, pos, name || repeat(' .', (length(name) % 6)::INT) || ' ' || pos AS line FROM l)"""
+
+
+@query(rf"""WITH {_MENU}
+    SELECT page_id, pos::INT AS pos FROM m WHERE length(line) > 0 AND (regexp_matches(line, '(\.\s*\..*?){{2,}}')
+        OR (length(line) < 80 AND regexp_matches(line, '[.\s]{{2,}}\d') AND length(regexp_replace(line, '[^.\s]', '', 'g')) / length(line) > 0.25))""")
 def toc_filter(spark, d):
-    return _lines(spark, d).where(X.is_contents("line")).select("doc_id", "pos")
+    items = F.posexplode(F.regexp_extract_all("html", F.lit(r"<li>(.*?)</li>"), 1))
+    t = table(spark, d, "pages").select("page_id", items.alias("pos", "name")).withColumns({"pos": F.col("pos") + 1, "name": X.strip_tags("name")})
+    line = F.concat("name", F.expr("repeat(' .', length(name) % 6)"), F.lit(" "), F.col("pos").cast("string"))
+    return t.where(X.is_contents(line)).select("page_id", "pos")
 
 
-@query(f"""WITH {_LINES}
-    SELECT doc_id, pos::INT AS pos FROM l WHERE length(line) > 0 AND (len(regexp_extract_all(line, '(?:www\\.\\S+|https?://\\S+|\\S+@\\S+\\.\\w{{2,}})')) >= 2
-        OR (length(trim(line)) < 20 AND regexp_matches(trim(line), '^[\\d\\s/\\\\-]+$')))""")
+@query(r"""WITH t AS (SELECT 'document' AS of, doc_id::VARCHAR AS id, text FROM documents UNION ALL SELECT 'line', l_orderkey || '-' || l_linenumber || '-' || l_partkey, CASE WHEN l_quantity < 25 THEN l_orderkey || ' / ' || l_linenumber ELSE l_returnflag || ' ' || l_orderkey END FROM lineitem)
+    SELECT of, id FROM t WHERE length(text) > 0 AND (len(regexp_extract_all(text, '(?:www\.\S+|https?://\S+|\S+@\S+\.\w{2,})')) >= 2
+        OR (length(trim(text)) < 20 AND regexp_matches(trim(text), '^[\d\s/\\-]+$')))""")
 def boilerplate_filter(spark, d):
-    return _lines(spark, d).where(X.is_boilerplate("line")).select("doc_id", "pos")
+    """Whole documents with two addresses or more, and page marks among order lines."""
+    docs = table(spark, d, "documents").select(F.lit("document").alias("of"), F.col("doc_id").cast("string").alias("id"), "text")
+    mark = F.when(F.col("l_quantity") < 25, F.concat_ws(" / ", "l_orderkey", "l_linenumber")).otherwise(F.concat_ws(" ", "l_returnflag", "l_orderkey"))
+    marks = table(spark, d, "lineitem").select(F.lit("line").alias("of"), F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("id"), mark.alias("text"))
+    return docs.unionByName(marks).where(X.is_boilerplate("text")).select("of", "id")
 
 
 _STOP = ", ".join(f"'{w}'" for w in X.CONNECTORS)
