@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from folia.plans import extraction_queries, graph_queries, metric_queries, repair_queries, resolution_queries, sampling_queries, search_queries, source_queries, summary_queries, table_queries, text_queries, tree_queries  # noqa: F401
+from folia.plans import chain_queries, extraction_queries, graph_queries, metric_queries, repair_queries, resolution_queries, sampling_queries, search_queries, source_queries, summary_queries, table_queries, text_queries, tree_queries  # noqa: F401
 from folia.plans.registry import ORACLE_SQL, QUERIES
 
-FLAGSHIP = search_queries.hybrid_retrieval
+FLAGSHIP = chain_queries.section_retrieval
 
 __all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES"]
