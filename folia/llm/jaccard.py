@@ -30,8 +30,12 @@ LEAST = (4, 5)
 SEED = 42
 #: Sets that meet in one key: more are compared together.
 SMALL = 32
-#: Sets of one key that are compared in one task: keys of more are cut in parts, then parts are compared with each other.
-CHUNK = 512
+#: Sets of one key that are compared in one task, and their shingles: keys of more are cut in parts, then parts are compared with each other.
+CHUNK, SHINGLES = 512, 4 << 20
+#: Shingles in a bucket of pairs to be confirmed.
+BUCKET = 8 << 20
+#: Sets of more rows than this part of all are few, so they may be broadcast.
+HOT = 256
 #: Bits of a set's bitmap.
 BITS = 1024
 #: Shingles that go to the end of the order at most; it bounds what the driver gathers and changes cost, not results.
@@ -139,10 +143,13 @@ def stored(docs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
     return written(docs.join(rows, "row").select("node", "text").mapInArrow(run, "node long, shingles binary"))
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of LEAST or more; the set of a goes to its bucket once, that of b once for each pair."""
+def confirmed(pairs: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of LEAST or more; the set of a goes to its bucket once, that of b once for each pair.
 
-    parts = buckets(pairs.sparkSession, 8)
+    sizes (node, n): shingles of each set; the buckets follow what the pairs bring together."""
+
+    held = pairs.join(sizes.toDF("b", "n"), "b").agg(F.sum("n")).first()[0] or 0
+    parts = max(buckets(pairs.sparkSession, 8), -(-held // BUCKET))
     bucket = F.pmod(F.xxhash64("a"), F.lit(parts)).cast("int").alias("bucket")
 
     @lean_group
@@ -203,10 +210,11 @@ def unsettled(crowd: DataFrame, roots: DataFrame, by: list[str]) -> DataFrame:
     return crowd.join(mixed, by, "left_semi")
 
 
-def parted(crowd: DataFrame) -> DataFrame:
-    """crowd (key, node) with the parts of its key and the part of each node, of about CHUNK nodes each."""
-    sizes = crowd.groupBy("key").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("parts"))
-    return crowd.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("node", F.lit(SEED)), "parts").cast("int"))
+def parted(crowd: DataFrame, sizes: DataFrame) -> DataFrame:
+    """crowd (key, node) with the parts of its key and the part of each node, of about CHUNK nodes or SHINGLES shingles each; sizes (node, n)."""
+    parts = F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("n") / SHINGLES)).cast("int").alias("parts")
+    keys_of = crowd.join(sizes.select("node", "n"), "node").groupBy("key").agg(parts)
+    return crowd.join(keys_of, "key").withColumn("part", F.pmod(F.xxhash64("node", F.lit(SEED)), "parts").cast("int"))
 
 
 def together(crowd: DataFrame, sets: DataFrame, by: list[str]) -> DataFrame:
@@ -228,7 +236,7 @@ def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     return written(known.union(fresh))
 
 
-def across(crowd: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+def across(crowd: DataFrame, sets: DataFrame, roots: DataFrame, sizes: DataFrame) -> DataFrame:
     """roots after the links between the parts of crowded keys (key, node), so that no task holds a whole key.
 
     First one node of each component that a key has is compared, which settles groups of near copies; then, in keys that still hold several
@@ -237,9 +245,9 @@ def across(crowd: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
     if not left.take(1):
         return roots
     rooted = left.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    heads = written(parted(rooted.groupBy("key", "root").agg(F.min("node").alias("node")).select("key", "node")))
+    heads = written(parted(rooted.groupBy("key", "root").agg(F.min("node").alias("node")).select("key", "node"), sizes))
     roots = merged(roots, together(heads, sets, ["key", "part"]))
-    left = written(parted(unsettled(left, roots, ["key"])))
+    left = written(parted(unsettled(left, roots, ["key"]), sizes))
     if not left.take(1):
         return roots
     two = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("part <> other")
@@ -258,14 +266,14 @@ def near_duplicates(docs: DataFrame, row_col: str, width: int = 5, text_col: str
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(row_col).cast("long").alias("row"), F.col(text_col).cast("string").alias("text"))
     info = written(describe(docs, width))
     prints = info.where("bits is not null").select("doc_id", "row", "node")
-    nodes = written(info.where("bits is not null and node <> 0").groupBy("node").agg(F.min("row").alias("row"), F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("bits").alias("bits")))
+    nodes = written(info.where("bits is not null and node <> 0").groupBy("node").agg(F.count("*").alias("rows"), F.min("row").alias("row"), F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("bits").alias("bits")))
     # step 1: the fingerprints; of those that share one, each is held against the first
     first = nodes.groupBy("fp").agg(F.min("node").alias("node"))
     linked = link_fingerprints(first).join(first.toDF("a", "na"), "a").join(first.toDF("b", "nb"), "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
     same = nodes.join(first.withColumnRenamed("node", "b"), "fp").where("node <> b").select(F.col("node").alias("a"), "b")
     near = written(linked.union(same).distinct())
     ends = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-    sure = written(confirmed(near, stored(docs, nodes.join(ends, "node").select("node", "row"), width)))
+    sure = written(confirmed(near, stored(docs, nodes.join(ends, "node").select("node", "row"), width), nodes.select("node", "n")))
     joined = components(sure).toDF("node", "root")
     # step 2: the keys
     often = info.where("bits is null").groupBy("node").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "node").limit(COMMON).select("node").collect()
@@ -285,10 +293,16 @@ def near_duplicates(docs: DataFrame, row_col: str, width: int = 5, text_col: str
     pairs = written(pairs.select("a", "b", "xa", "na", "xb", "nb").mapInArrow(differ, "a long, b long"))
     # a key whose nodes step 1 has all joined has nothing left to find
     crowd = unsettled(met.where("many").select(F.col("a").alias("key"), F.col("b").alias("node")), maps.select("node", "root"), ["key"])
-    crowd = written(parted(crowd))
+    crowd = written(parted(crowd, nodes))
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowd.select("node")).distinct()
     some = stored(docs, nodes.join(needed, "node").select("node", "row"), width)
-    roots = merged(joined, confirmed(pairs, some).union(together(crowd, some, ["key", "part"])))
+    roots = merged(joined, confirmed(pairs, some, nodes.select("node", "n")).union(together(crowd, some, ["key", "part"])))
     if crowd.where("parts > 1").take(1):
-        roots = across(crowd.where("parts > 1").select("key", "node"), some, roots)
-    return prints.join(roots, "node", "left").select("doc_id", "row", F.coalesce("root", "node").alias("root"))
+        roots = across(crowd.where("parts > 1").select("key", "node"), some, roots, nodes)
+    # rows whose text no link touches keep their node; sets of very many rows are few, so their rows stay where they are
+    label = written(nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "rows"))
+    hot = F.broadcast(label.where(F.col("rows") > (label.agg(F.sum("rows")).first()[0] or 0) / HOT).drop("rows"))
+    blank = prints.where("node = 0").withColumn("root", F.col("node"))
+    said = prints.where("node <> 0")
+    rest = said.join(hot.select("node"), "node", "left_anti").join(label.drop("rows"), "node")
+    return blank.unionByName(said.join(hot, "node")).unionByName(rest).select("doc_id", "row", "root")

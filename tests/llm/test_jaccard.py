@@ -82,9 +82,19 @@ def test_parts_of_a_crowded_key(spark, monkeypatch):
         sets[at], at = frozenset(r.getrandbits(63) for _ in range(60)), at + 1
     stored = common.written(spark.createDataFrame([(k, np.sort(np.array(list(s), np.uint64)).tobytes()) for k, s in sets.items()], "node long, shingles binary"))
     crowd = common.written(spark.createDataFrame([(7, k) for k in sets], "key long, node long"))
-    links = jaccard.together(jaccard.parted(crowd), stored, ["key", "part"])
-    assert jaccard.parted(crowd).groupBy("part").count().count() > 5
-    root = {x["node"]: x["root"] for x in jaccard.across(crowd, stored, common.components(links)).collect()}
+    sizes = stored.selectExpr("node", "cast(octet_length(shingles) / 8 as long) as n")
+    links = jaccard.together(jaccard.parted(crowd, sizes), stored, ["key", "part"])
+    assert jaccard.parted(crowd, sizes).groupBy("part").count().count() > 5
+    root = {x["node"]: x["root"] for x in jaccard.across(crowd, stored, common.components(links), sizes).collect()}
     want = brute(list(sets.values()))
     groups = lambda of: {frozenset(k for k in sets if of(k) == v) for v in map(of, sets)}
     assert groups(lambda k: root.get(k, k)) == groups(lambda k: want[sets[k]])
+
+
+def test_long_sets_make_more_parts(spark, monkeypatch):
+    """Parts follow the shingles of their sets, not their number alone."""
+    monkeypatch.setattr(jaccard, "SHINGLES", 1000)
+    crowd = spark.createDataFrame([(1, k) for k in range(40)] + [(2, k) for k in range(40, 80)], "key long, node long")
+    sizes = spark.createDataFrame([(k, 500 if k < 40 else 3) for k in range(80)], "node long, n long")
+    parts = {r["key"]: r["parts"] for r in jaccard.parted(crowd, sizes).select("key", "parts").distinct().collect()}
+    assert parts == {1: 20, 2: 1}
