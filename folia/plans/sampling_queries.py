@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from folia.operators import sampling
+from folia.operators import dedup, sampling
 from folia.plans.registry import query
 from folia.session import table
 
@@ -128,3 +128,12 @@ def slide_deck(spark, d):
 
     t = table(spark, d, "documents").groupBy("source").agg(F.avg(F.size(words("text"))).alias("words"), F.count("*").alias("pages"))
     return t.select("source", "words", F.when((F.col("words") < 300) & (F.col("pages") > 2), "slides").otherwise("report").alias("kind"))
+
+
+@query("""WITH RECURSIVE t AS (SELECT row_number() OVER (ORDER BY conv_id, turn) AS i, conv_id, turn, list_distinct(string_split(text, '')) AS s FROM conversations),
+    r AS (SELECT 0::BIGINT AS i, []::VARCHAR[][] AS kept, false AS ok UNION ALL SELECT i, CASE WHEN dup THEN kept ELSE list_append(kept, s) END, NOT dup FROM (
+        SELECT t.i, t.s, r.kept, len(list_filter(r.kept, lambda k: len(list_intersect(k, t.s))::DOUBLE / (len(k) + len(t.s) - len(list_intersect(k, t.s))) >= 0.7)) > 0 AS dup FROM r JOIN t ON t.i = r.i + 1))
+    SELECT conv_id, turn FROM r JOIN t USING (i) WHERE ok""")
+def distinct_turns(spark, d):
+    """Turns of all conversations that are unlike every turn kept before, by their characters."""
+    return dedup.distinct_in_order(table(spark, d, "conversations"), ["conv_id", "turn"], "text").select("conv_id", "turn")
