@@ -22,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folia.llm.common import buckets, gather, lean, lean_group, mix, pack, raw, slices, written
+from folia.llm.common import bit_map, buckets, gather, lean, lean_group, marked, mix, pack, raw, slices, written
 from folia.session import ship
 
 #: Longest phrase, in words.
@@ -33,8 +33,6 @@ NO_LANG = "und"
 SLICE, WORDS, HELD = 8 << 20, 400_000, 4_000_000
 #: Rows of languages and shards that may be broadcast.
 SHARES = 100_000
-#: Bits of the largest bit map, and of one row of it.
-MOST_BITS, ROW_BITS = 1 << 28, 1 << 18
 #: Marks and line ends that end a piece.
 ENDS = b".,;:!?\n\x0b\x0c\r"
 _TO = bytes(10 if c in ENDS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -89,35 +87,6 @@ class Pieces:
             yield k, h
 
 
-def marked(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Which hashes are in a bit map."""
-    at = h & np.uint64(8 * len(bits) - 1)
-    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
-
-
-def bit_map(hashes: DataFrame) -> Broadcast:
-    """Bit map of column h, 16 bits a row as long as that is at most MOST_BITS."""
-    spark = hashes.sparkSession
-    size = ROW_BITS
-    n = hashes.count()
-    while size < 16 * n and size < MOST_BITS:
-        size *= 2
-
-    @lean_group
-    def fill(t: pa.Table) -> pa.Table:
-        row = np.zeros(ROW_BITS, np.uint8)
-        row[t.column("bit").to_numpy()] = 1
-        return pa.table({"row": t.column("row")[:1], "bits": pa.array([np.packbits(row, bitorder="little").tobytes()], pa.binary())})
-
-    at = F.col("h").bitwiseAND(F.lit(size - 1))
-    spots = hashes.select(F.shiftright(at, 18).alias("row"), at.bitwiseAND(F.lit(ROW_BITS - 1)).cast("int").alias("bit"))
-    got = spots.groupBy("row").applyInArrow(fill, "row long, bits binary").toArrow()
-    out = np.zeros((size // ROW_BITS, ROW_BITS // 8), np.uint8)
-    for r, b in zip(got["row"].to_pylist(), got["bits"].to_pylist()):
-        out[r] = np.frombuffer(b, np.uint8)
-    return spark.sparkContext.broadcast(out.reshape(-1))
-
-
 def _by_lang(b: pa.RecordBatch, *more: str) -> dict[tuple, list[bytes]]:
     """Texts of a batch by language and further columns."""
     out: dict[tuple, list[bytes]] = defaultdict(list)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folia.llm.common import buckets, components, gather, lean, lean_group, pack, raw, slices, written
+from folia.llm.common import bit_map, buckets, components, gather, lean, lean_group, marked, pack, raw, slices, written
 from folia.llm.simhash import fold, link_fingerprints, shingle_hashes
 from folia.session import ship
 
@@ -132,7 +132,14 @@ def forest(node: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
 
 
 def stored(docs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
-    """(node, shingles) of the texts of `rows` (node, row)."""
+    """(node, shingles) of the texts of `rows` (node, row). A bit map of the rows keeps other texts out of the join."""
+    rows = written(rows)
+    few = bit_map(rows.select(F.xxhash64("row").alias("h")))
+
+    @lean
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.select(["row", "text"]).filter(pa.array(marked(few.value, b.column("h").to_numpy().view(np.uint64))))
 
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,7 +147,8 @@ def stored(docs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
             sets = [np.unique(shingle_hashes(t, width)).tobytes() for t in raw(b, "text")]
             yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
-    return written(docs.join(rows, "row").select("node", "text").mapInArrow(run, "node long, shingles binary"))
+    some = docs.select("row", "text", F.xxhash64("row").alias("h")).mapInArrow(sift, "row long, text string")
+    return written(some.join(rows, "row").select("node", "text").mapInArrow(run, "node long, shingles binary"))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -163,10 +171,23 @@ def confirmed(pairs: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
 
     asked = pairs.select("a").distinct().withColumnRenamed("a", "node")
     left = sets.join(asked, "node", "left_semi").select(F.col("node").alias("a"), F.col("shingles").alias("own"))
-    right = pairs.join(sets.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("a"), F.col("b").alias("b"), F.col("shingles").alias("other"))
+    right = pairs.join(sets.join(pairs.select(F.col("b").alias("node")).distinct(), "node", "left_semi").withColumnRenamed("node", "b"), "b").select(F.col("a").alias("a"), F.col("b").alias("b"), F.col("shingles").alias("other"))
     return left.select("a", "own", bucket).groupBy("bucket").cogroup(right.select("a", "b", "other", bucket).groupBy("bucket")).applyInArrow(check, "a long, b long")
 
 
+def confirmed_in_turns(pairs: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Links of LEAST or more among the pairs (a, b) that join all that the pairs of LEAST or more join.
+
+    One pair for each b goes first; of the others only those whose ends these have not joined are looked at, so that a group of near copies sends each set once, not once for each pair."""
+    pairs = pairs.distinct()
+    star = written(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    first = written(confirmed(star, sets, sizes))
+    root = components(first)
+    rest = pairs.join(star, ["a", "b"], "left_anti").join(root.toDF("a", "ra"), "a", "left").join(root.toDF("b", "rb"), "b", "left")
+    rest = written(rest.where("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b"))
+    return first.union(confirmed(rest, sets, sizes)) if rest.take(1) else first
+
+
 def meetings(docs: DataFrame, width: int, common: np.ndarray) -> DataFrame:
     """(a, b, many): nodes a and b meet in a key of few; where many, a is such a key and b one of its nodes."""
     n = buckets(docs.sparkSession)
@@ -224,6 +245,7 @@ def together(crowd: DataFrame, sets: DataFrame, by: list[str]) -> DataFrame:
         got = forest(t.column("node").to_numpy(), [np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()])
         return pa.table({"a": pa.array([g[0] for g in got], pa.int64()), "b": pa.array([g[1] for g in got], pa.int64())})
 
+    sets = sets.join(crowd.select("node").distinct(), "node", "left_semi")
     return crowd.join(sets, "node").select(*by, "node", "shingles").groupBy(*by).applyInArrow(run, "a long, b long")
 
 
@@ -296,7 +318,7 @@ def near_duplicates(docs: DataFrame, row_col: str, width: int = 5, text_col: str
     crowd = written(parted(crowd, nodes))
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowd.select("node")).distinct()
     some = stored(docs, nodes.join(needed, "node").select("node", "row"), width)
-    roots = merged(joined, confirmed(pairs, some, nodes.select("node", "n")).union(together(crowd, some, ["key", "part"])))
+    roots = merged(joined, confirmed_in_turns(pairs, some, nodes.select("node", "n")).union(together(crowd, some, ["key", "part"])))
     if crowd.where("parts > 1").take(1):
         roots = across(crowd.where("parts > 1").select("key", "node"), some, roots, nodes)
     # rows whose text no link touches keep their node; sets of very many rows are few, so their rows stay where they are
