@@ -2,21 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame
 
+from folia.session import scratch
+
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write under spark.checkpoint.dir and read back. Unset (tests on one machine): a temporary folder becomes the setting."""
+    """Write under spark.checkpoint.dir and read back."""
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="spark-folia-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/table-{uuid.uuid4().hex}"
+    path = f"{scratch(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +50,23 @@ def ship(spark: SparkSession) -> None:
     env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
 
 
+#: Temporary folders of applications whose setting names none.
+_OWN: dict[str, str] = {}
+
+
+def scratch(spark: SparkSession) -> str:
+    """The folder for tables in between: spark.checkpoint.dir, which all executors share. Where that is unset, as in tests, a temporary folder of this machine, for a local master only."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return base.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _OWN:
+        _OWN[app] = "file://" + tempfile.mkdtemp(prefix="spark-folia-")
+    return _OWN[app]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables; a file or a folder of files."""
     ship(spark)
