@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
 
@@ -17,7 +16,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folia.session import ship
+from folia.session import scratch, ship
 
 #: Bits of the largest bit map, and of one row of it.
 MOST_BITS, ROW_BITS = 1 << 28, 1 << 18
@@ -26,16 +25,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder name under spark.checkpoint.dir, which all executors share.
-
-    Where the setting is absent (tests on one machine) a temporary folder is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="spark-folia-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/folia-{uuid.uuid4().hex}"
+    """A new folder name under the folder that all executors share."""
+    return f"{scratch(spark)}/folia-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, compression: str = "zstd") -> DataFrame:
