@@ -71,3 +71,29 @@ def outline_in_chunks(titles: DataFrame, doc: list[str], order: str, level: str,
         near = [F.col(f"_{s}{j}") for s in "wc" for j in range(k)]
         parent = F.when(F.col(level) == k, F.greatest(*near)).otherwise(parent)
     return rows.select(*titles.columns, "chunk", "context", parent.alias("parent"))
+
+
+def apply_levels(titles: DataFrame, given: DataFrame, doc: list[str], order: str, level: str) -> DataFrame:
+    """Titles with the levels and parents that a model gave (doc…, order, level, parent); titles it left out, or gave the level -1, go. Levels for no title, or given again, are left alone: the first parent of the smallest level counts."""
+    one = given.groupBy(*doc, order).agg(F.min(F.struct(F.col(level).alias("l"), F.col("parent").alias("p"))).alias("_g")).where("_g.l <> -1")
+    return titles.drop("parent").join(one, [*doc, order]).withColumns({level: F.col("_g.l"), "parent": F.col("_g.p")}).drop("_g")
+
+
+def outline_context(outline: DataFrame, doc: list[str], order: str, level: str, first: int = 3, last: int = 5) -> DataFrame:
+    """(doc…, order, level, place): what of a settled outline the next chunk is shown: titles of level 0, the first three and the last five of level 1, and the tail from the last title of level 1 on, its last five; each once, at its first place.
+
+    Only so many titles of a document meet, however long it is: the places from either end are taken in parts first."""
+    from folia.operators.summaries import first_of_groups
+
+    back = outline.withColumn("_back", -F.col(order))
+    one = outline.where(F.col(level) == 1)
+    part = lambda df, k: df.select(*doc, F.lit(k).alias("_part"), F.col(order).alias("_o"), F.col(level).alias("_l"))
+    heads = part(outline.where(F.col(level) == 0), 0)
+    early = part(first_of_groups(one, doc, [order], first), 1)
+    late = part(first_of_groups(back.where(F.col(level) == 1), doc, ["_back"], last), 2)
+    border = one.groupBy(*doc).agg(F.max(order).alias("_from"))
+    after = back.join(border, doc, "left").where(F.col("_from").isNull() | (F.col(order) >= F.col("_from")))
+    tail = part(first_of_groups(after, doc, ["_back"], last), 3)
+    every = heads.unionByName(early).unionByName(late).unionByName(tail).groupBy(*doc, "_o").agg(F.min("_part").alias("_part"), F.first("_l").alias("_l"))
+    place = F.row_number().over(Window.partitionBy(*doc).orderBy("_part", "_o")) - 1
+    return every.withColumn("place", place).select(*doc, F.col("_o").alias(order), F.col("_l").alias(level), "place")

@@ -46,3 +46,15 @@ def outline_chunks(spark, d):
     """Parents of headings found in chunks of ten, each given the headings that are open where it begins."""
     t = outlines.outline_in_chunks(_heads(spark, d), ["user_id"], "event_id", "level", 3, most=10, block=64)
     return t.select("event_id", F.col("chunk.run").alias("run"), F.size("context").cast("long").alias("n_open"), "parent")
+
+
+@query(f"""WITH {_HEADS}, f AS (SELECT user_id, max(event_id) FILTER (WHERE level = 1) AS f FROM h GROUP BY 1),
+    p AS (SELECT user_id, event_id, level, 0 AS part FROM h WHERE level = 0
+        UNION ALL SELECT user_id, event_id, level, 1 FROM h WHERE level = 1 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) <= 3
+        UNION ALL SELECT user_id, event_id, level, 2 FROM h WHERE level = 1 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) <= 5
+        UNION ALL SELECT user_id, event_id, level, 3 FROM h JOIN f USING (user_id) WHERE f IS NULL OR event_id >= f QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) <= 5),
+    d AS (SELECT user_id, event_id, level, min(part) AS part FROM p GROUP BY ALL)
+    SELECT user_id, event_id, level, row_number() OVER (PARTITION BY user_id ORDER BY part, event_id) - 1 AS place FROM d""")
+def outline_context(spark, d):
+    """What of each user's outline a next chunk would be shown."""
+    return outlines.outline_context(_heads(spark, d), ["user_id"], "event_id", "level")
