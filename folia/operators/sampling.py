@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folia.operators.places import placed
 from folia.session import ship
 
 
@@ -31,7 +32,7 @@ def first_by_content(df: DataFrame, text: str, order: str) -> DataFrame:
 
 def stratified(df: DataFrame, stratum: str, id_col: str, quotas: dict[str, int], spill_to: str, seed: int) -> DataFrame:
     """Rows by draw up to each stratum's quota; what a stratum lacks is added to the quota of `spill_to`."""
-    have = {r[stratum]: r["n"] for r in df.groupBy(stratum).agg(F.count("*").alias("n")).collect() if r[stratum] in quotas}
+    have = {r[stratum]: r["n"] for r in df.where(F.col(stratum).isin(list(quotas))).groupBy(stratum).agg(F.count("*").alias("n")).collect()}  # as many as there are quotas
     short = sum(max(0, q - have.get(k, 0)) for k, q in quotas.items() if k != spill_to)
     want = {k: min(q, have.get(k, 0)) for k, q in quotas.items()} | {spill_to: quotas.get(spill_to, 0) + short}
     quota = F.create_map(*[x for k, v in want.items() for x in (F.lit(k), F.lit(v))])
@@ -46,10 +47,9 @@ def allocate(scales: DataFrame, key: str, scale: str, total: int, least: int) ->
     part = F.greatest(F.lit(least), F.bround(F.col(scale) * F.lit(float(total)) / F.lit(float(whole or 1)), 0).cast("long"))
     t = scales.withColumn("n", part)
     gap = total - (t.agg(F.sum("n")).first()[0] or 0)
-    r = F.row_number().over(Window.orderBy(F.desc(scale), key))  # a row for each document group
     step = 1 if gap > 0 else -1
     can = F.lit(True) if gap > 0 else F.col("n") > least
-    return t.withColumn("_r", r).withColumn("n", F.col("n") + F.when((F.col("_r") <= abs(gap)) & can, F.lit(step)).otherwise(F.lit(0))).drop("_r")
+    return placed(t, [F.desc(scale), F.asc(key)], "_r").withColumn("n", F.col("n") + F.when((F.col("_r") < abs(gap)) & can, F.lit(step)).otherwise(F.lit(0))).drop("_r")
 
 
 def parent_child_groups(children: DataFrame, parent: str, child: str, seed: int, most: int = 3) -> DataFrame:
@@ -103,10 +103,9 @@ def weighted_label(u: Column, weights: dict[str, float]) -> Column:
 
 def split_slices(df: DataFrame, key: str, n: int) -> DataFrame:
     """Adds slice 1..n: the distinct keys in order, cut to runs of ceil(keys / n)."""
-    keys = df.select(key).distinct()
-    size = F.greatest(F.lit(1), F.ceil(F.count("*").over(Window.partitionBy()) / n))
-    ranked = keys.withColumn("_k", F.row_number().over(Window.orderBy(key)) - 1).withColumn("slice", (F.floor(F.col("_k") / size) + 1).cast("int")).drop("_k")
-    return df.join(ranked, key)
+    ranked = placed(df.select(key).distinct(), [F.asc(key)], "_k")
+    size = max(1, -(-ranked.count() // n))
+    return df.join(ranked.select(key, (F.floor(F.col("_k") / size) + 1).cast("int").alias("slice")), key)
 
 
 def greedy_distinct(df: DataFrame, group: str, order: str, text: str, limit: float = 0.7) -> DataFrame:

@@ -15,23 +15,22 @@ from pyspark.sql import functions as F
 from folia.session import ship
 
 
-def skyline_2d(df: DataFrame, a: str, b: str) -> DataFrame:
+def skyline_2d(df: DataFrame, a: str, b: str, cells: int = 256) -> DataFrame:
     """Rows on the Pareto front of two maximised columns; ties stay.
 
-    One row for each distinct `a` is left after a partial aggregate; the front is a
-    running maximum over those. They are first thinned by ranges: a range of `a` can only
-    keep what tops the best `b` of all higher ranges, so the window in one task sees few rows."""
+    One row for each distinct `a` is left after a partial aggregate. These fall into cells of about equal number by ranges of `a`; a row stays if it tops the best `b` of all
+    higher cells and of the higher rows of its own, a running maximum inside each cell. Only the cells' best ones, a row each, meet in one task."""
     best = df.where(f"{a} is not null and {b} is not null").groupBy(a).agg(F.max(b).alias("_b"))
-    edge = best.agg(F.min(a).alias("lo"), F.max(a).alias("hi")).first()
-    if edge is None or edge["lo"] is None:
+    cuts = best.agg(F.percentile_approx(F.col(a).cast("double"), [k / cells for k in range(1, cells)], 20 * cells).alias("q")).first()["q"]
+    if cuts is None:
         return df.limit(0)
-    width = (float(edge["hi"]) - float(edge["lo"])) / 256 or 1.0
-    cell = F.floor((F.col(a).cast("double") - float(edge["lo"])) / width)
-    tops = best.withColumn("_cell", cell).groupBy("_cell").agg(F.max("_b").alias("_top"))
+    bounds = F.array(*[F.lit(float(x)) for x in sorted(set(cuts))])
+    celled = best.withColumn("_cell", F.size(F.filter(bounds, lambda x: x <= F.col(a).cast("double"))))
+    tops = celled.groupBy("_cell").agg(F.max("_b").alias("_top"))
     above = Window.orderBy(F.desc("_cell")).rowsBetween(Window.unboundedPreceding, -1)
-    bars = tops.withColumn("_bar", F.max("_top").over(above)).select("_cell", "_bar")  # 257 rows at most
-    thin = best.withColumn("_cell", cell).join(F.broadcast(bars), "_cell").where("_bar is null or _b > _bar")
-    higher = Window.orderBy(F.desc(a)).rowsBetween(Window.unboundedPreceding, -1)
+    bars = tops.withColumn("_bar", F.max("_top").over(above)).select("_cell", "_bar")  # `cells` rows at most
+    higher = Window.partitionBy("_cell").orderBy(F.desc(a)).rowsBetween(Window.unboundedPreceding, -1)
+    thin = celled.join(F.broadcast(bars), "_cell").where("_bar is null or _b > _bar")
     front = thin.withColumn("_pm", F.max("_b").over(higher)).where("_pm is null or _b > _pm").select(F.col(a).alias("_a"), "_b")
     return df.join(front, (F.col(a) == F.col("_a")) & (F.col(b) == F.col("_b"))).drop("_a", "_b")
 
