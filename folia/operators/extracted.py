@@ -10,6 +10,8 @@ from folia.operators.graph import nearest_names
 
 # Types of entities that are made here, words that name an equation, and the similarity from which a name is taken for another.
 EQUATION, UNKNOWN, NAME_WORDS, LEAST = "EQUATION_OR_FORMULA", "UNKNOWN", 8, 0.9
+# Lines that open a table as text.
+HEAVY, WORDED, CAPTION, FOOTNOTE = "Type: Data-heavy table (schema summary)", "Type: Text-heavy table (full linearization)", "Table Caption: ", "Footnote: "
 
 
 def equation_entity(content: Column) -> Column:
@@ -70,6 +72,6 @@ def schema_summary(grid: Column, caption: Column, footnote: Column, share: float
 
     rows = F.transform(F.slice(g, 2, F.greatest(F.size(g) - 1, F.lit(0))), sentence)
     heavy = F.size(F.filter(cells, lambda c: ~letters(c))) >= share * F.size(cells)
-    data = F.concat_ws("\n", some("Table Caption: ", caption), F.lit("Type: Data-heavy table (schema summary)"), line("Column Labels", across), line("Row Labels", down), line("Other Labels", other), some("Footnote: ", footnote))
-    text = F.concat_ws("\n", some("Table Caption: ", caption), F.lit("Type: Text-heavy table (full linearization)"), F.when(F.size(rows) > 0, F.array_join(rows, "\n")), some("Footnote: ", footnote))
+    data = F.concat_ws("\n", some(CAPTION, caption), F.lit(HEAVY), line("Column Labels", across), line("Row Labels", down), line("Other Labels", other), some(FOOTNOTE, footnote))
+    text = F.concat_ws("\n", some(CAPTION, caption), F.lit(WORDED), F.when(F.size(rows) > 0, F.array_join(rows, "\n")), some(FOOTNOTE, footnote))
     return F.when(F.size(cells) == 0, F.coalesce(caption, F.lit(""))).when(heavy, data).otherwise(text)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folia.operators import collections, extracted
+from folia.operators import collections, datasets, extracted
 from folia.plans.graph_queries import co_suppliers
 from folia.plans.registry import query
 from folia.plans.table_queries import _GRID, grids
@@ -130,3 +130,18 @@ def table_schemas(spark, d):
     t = grids(spark, d)
     text = extracted.schema_summary(F.col("grid"), F.col("caption"), F.col("footnote"))
     return t.select("k", F.contains(text, F.lit("Type: Data-heavy")).alias("heavy"), F.md5(text).alias("text"))
+
+
+@query(f"""WITH {_NODES}, i AS (SELECT l_orderkey AS g, list_sort(list(DISTINCT l_partkey))[1:4] AS ids FROM lineitem WHERE l_partkey IN (SELECT node_id FROM n) GROUP BY 1 HAVING count(DISTINCT l_partkey) >= 2),
+    e AS (SELECT g, unnest(ids) AS id, generate_subscripts(ids, 1) AS at_ FROM i),
+    x AS (SELECT g, at_, id, p_size + 1 AS page, CASE WHEN contains(lower(type), 'table') THEN 'table' WHEN contains(lower(type), 'image') THEN 'image' WHEN contains(lower(type), 'title') THEN 'title' ELSE 'text' END AS kind,
+        CASE type WHEN 'NodeType.TABLE' THEN left(CASE WHEN coalesce(caption, '') <> '' THEN caption ELSE coalesce(table_body, '') END, 500) WHEN 'image' THEN left(coalesce(caption, '') || ' | ' || coalesce(summary, ''), 300) ELSE left(content, 500) END AS content FROM e JOIN n ON node_id = id JOIN part ON p_partkey = id)
+    SELECT g AS group_id, o_orderstatus AS answer, count(*)::INT AS n_chunks, string_agg(id || '|' || kind || '|' || page || '|' || content, chr(10) ORDER BY at_) AS evidence FROM x JOIN orders ON o_orderkey = g GROUP BY 1, 2""")
+def question_samples(spark, d):
+    """Parts of an order as a group of chunks, with the order's status as the answer of its question."""
+    n = nodes(spark, d).withColumnRenamed("node_id", "index_id")
+    groups = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("group_id")).agg(F.sort_array(F.collect_set("l_partkey")).alias("ids"))
+    qa = table(spark, d, "orders").select(F.col("o_orderkey").alias("group_id"), F.lit(" which status? ").alias("question"), F.concat(F.lit(" "), "o_orderstatus").alias("answer"))
+    s = datasets.assemble_samples(datasets.valid_groups(groups, n), n, qa)
+    line = F.transform("evidences", lambda e: F.concat_ws("|", e["chunk_id"].cast("string"), e["chunk_type"], e["page"].cast("string"), e["content"]))
+    return s.select("group_id", "answer", F.size("chunk_ids").alias("n_chunks"), F.array_join(line, "\n").alias("evidence"))

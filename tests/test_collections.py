@@ -6,7 +6,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from folia.operators import collections, extracted, outlines
+from folia.operators import collections, datasets, extracted, outlines
 from folia.sources import graphs
 
 
@@ -71,3 +71,20 @@ def test_levels_of_a_model(spark):
     given = spark.createDataFrame([("d", 0, 0, 0), ("d", 1, -1, 0), ("d", 2, 2, 0), ("d", 2, 3, 9), ("d", 9, 1, 0)], "doc string, at int, level int, parent int")
     got = outlines.apply_levels(titles, given, ["doc"], "at", "level")
     assert sorted((r["at"], r["level"], r["parent"], r["text"]) for r in got.collect()) == [(0, 0, 0, "t0"), (2, 2, 0, "t2")]
+
+
+def test_samples_of_groups(spark):
+    nodes = spark.createDataFrame(
+        [(1, "NodeType.TEXT", "x" * 600, None, None, None, 0), (2, "NodeType.TABLE", "c", "", "b" * 600, None, None), (3, "NodeType.IMAGE", None, "cap", None, "s" * 400, 4), (4, "NodeType.TITLE", "T", None, None, None, 2)],
+        "index_id int, type string, content string, caption string, table_body string, summary string, page_idx int")
+    groups = spark.createDataFrame([(1, [3, 1, 3, 99, 2], "a"), (2, [1], "b"), (3, [99, 98], "c"), (4, [4, 3, 2, 1, 4], "d")], "group_id int, ids array<int>, how string")
+    good = datasets.valid_groups(groups, nodes)
+    assert sorted((r["group_id"], r["ids"]) for r in good.collect()) == [(1, [3, 1, 2]), (4, [4, 3, 2, 1])]
+    qa = spark.createDataFrame([(1, " why? ", " so "), (2, "q", "a"), (9, "q", "a")], "group_id int, question string, answer string")
+    got = {r["group_id"]: r for r in datasets.assemble_samples(good.unionByName(groups.where("group_id = 2")), nodes, qa).collect()}
+    assert sorted(got) == [1, 2] and (got[1]["question"], got[1]["answer"], got[1]["chunk_ids"], got[1]["chunk_types"], got[1]["is_multi_chunk"], got[1]["how"]) == ("why?", "so", [3, 1, 2], ["image", "text", "table"], True, "a")
+    assert [tuple(e) for e in got[1]["evidences"]] == [(3, "image", 5, ("cap | " + "s" * 400)[:300]), (1, "text", 1, "x" * 500), (2, "table", None, "b" * 500)]
+    assert not got[2]["is_multi_chunk"]
+    single, multi = spark.range(50).withColumnRenamed("id", "group_id"), spark.range(100, 103).withColumnRenamed("id", "group_id")
+    took = datasets.sample_groups(single, multi, 15, 0.7, 3).collect()
+    assert [sum(r["kind"] == k for r in took) for k in ("single", "multi")] == [10, 3] and len({r["place"] for r in took}) == 13
