@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folia.operators.graph import smallest_reachable
@@ -71,6 +73,18 @@ def merged_descriptions(entities: DataFrame, merged: DataFrame, most_words: int
     return names.join(text, "canonical", "left").select("canonical", "name", F.coalesce("n", F.lit(0)).alias("n"), F.substring(F.coalesce(cut, F.lit("")), 1, most_chars).alias("description"))
 
 
+def distinct_parts(description: Column) -> Column:
+    """The different parts of a joined description, in order, with semicolons between: the default where a model would rewrite it."""
+    parts = F.filter(F.transform(F.split(description, SEPARATOR), lambda x: F.trim(x)), lambda x: x != "")
+    return F.array_join(F.array_distinct(parts), "; ")
+
+
+def refined_descriptions(entities: DataFrame, rewrite: Callable[[Column], Column] = distinct_parts) -> DataFrame:
+    """Entities with those descriptions rewritten that come from several sources, that is, hold the separator; the others stay as they are, nulls included."""
+    joined = F.contains(F.col("description"), F.lit(SEPARATOR))
+    return entities.withColumn("description", F.when(joined, rewrite(F.col("description"))).otherwise(F.col("description")))
+
+
 def renamed_ends(edges: DataFrame, merged: DataFrame) -> DataFrame:
     """Edges (a, b, weight) between canonical entities: parallel ones add up, loops and edges to unknown entities go."""
     one = merged.select(F.col("id"), F.col("canonical"))

@@ -39,6 +39,18 @@ def select_candidates(scored: DataFrame, group: str, k: int = 10, far: float = 0
     return gated.withColumn("_ok", ok).withColumn("_all", F.min("_ok").over(o)).where("_all = 1").drop("_r", "_d", "_s", "_ok", "_all")
 
 
+def decide(candidates: DataFrame, group: str, bar: float = 0.5, chosen: DataFrame | None = None) -> DataFrame:
+    """(group, id, score): the match of each group among its candidates (group, id, score), or no row where none is taken.
+
+    None is where the best score is under `bar`. Else a choice (group, index), counted from 0 in falling order of score, decides; -1, an index beyond the candidates and a null take none, and
+    without choices the best is taken. Equal scores go by id; a group's candidates are few by select_candidates."""
+    w = Window.partitionBy(group)
+    t = candidates.withColumn("_i", F.row_number().over(w.orderBy(F.desc("score"), "id")) - 1).withColumn("_best", F.max("score").over(w)).where(F.col("_best") >= bar)
+    if chosen is None:
+        return t.where("_i = 0").select(group, "id", "score")
+    return t.join(chosen.select(group, F.col("index").alias("_i")), [group, "_i"]).select(group, "id", "score")
+
+
 def rewrite_relations(relations: DataFrame, canonical: DataFrame) -> DataFrame:
     """Relations (src, dst, relation, weight) between canonical entities: dangling ends and self loops go, repeats keep the heaviest."""
     a, b = canonical.toDF("src", "a"), canonical.toDF("dst", "b")

@@ -40,12 +40,15 @@ def relation_rewrite(spark, d):
     return resolution.rewrite_relations(x, materialize(resolution.resolve(_entities(spark, d), ["t", "b"])))
 
 
-@query("""WITH h AS (SELECT q.vec_id AS query_id, v.vec_id AS id, 1 - list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) AS distance, (v.vec_id % 10) / 10.0 AS score
+_GATES = """WITH h AS (SELECT q.vec_id AS query_id, v.vec_id AS id, 1 - list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) AS distance, (v.vec_id % 10) / 10.0 AS score
         FROM embeddings q JOIN embeddings v ON q.label = v.label AND q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0),
     k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS r FROM h),
     g AS (SELECT *, min(distance) OVER (PARTITION BY query_id) AS d, max(score) OVER (PARTITION BY query_id) AS s FROM k WHERE r <= 10),
-    o AS (SELECT *, coalesce(score >= 0.6 * lag(score) OVER (PARTITION BY query_id ORDER BY score DESC, id), true) AS ok FROM g WHERE d <= 0.7 AND s >= 0.5)
-    SELECT query_id, id, score FROM (SELECT *, bool_and(ok) OVER (PARTITION BY query_id ORDER BY score DESC, id) AS keep FROM o) WHERE keep""")
+    o AS (SELECT *, coalesce(score >= 0.6 * lag(score) OVER (PARTITION BY query_id ORDER BY score DESC, id), true) AS ok FROM g WHERE d <= 0.7 AND s >= 0.5),
+    r AS (SELECT query_id, id, score FROM (SELECT *, bool_and(ok) OVER (PARTITION BY query_id ORDER BY score DESC, id) AS keep FROM o) WHERE keep)"""
+
+
+@query(f"{_GATES} SELECT * FROM r")
 def candidate_gates(spark, d):
     from folia.operators.vector import cosine
 
@@ -56,6 +59,12 @@ def candidate_gates(spark, d):
     return resolution.select_candidates(s, "query_id", far=0.7).select("query_id", "id", "score")
 
 
+@query(f"{_GATES} SELECT query_id, id, score FROM r QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) = 1 AND score >= 0.9")
+def match_decisions(spark, d):
+    """The best candidate of each vector where its score is good enough."""
+    return resolution.decide(candidate_gates(spark, d), "query_id", 0.9)
+
+
 @query(_sql(False) + """, s AS (SELECT a AS node_id, round(sum(value), 2) AS total FROM (SELECT unnest(path) AS a, value FROM t) GROUP BY 1),
     b AS (SELECT parent_id, node_id FROM (SELECT t.parent_id, t.node_id, row_number() OVER (PARTITION BY t.parent_id ORDER BY total DESC, t.node_id) AS r FROM t JOIN s USING (node_id) WHERE t.parent_id IS NOT NULL) WHERE r = 1),
     w AS (SELECT node_id AS start, node_id AS here, 0 AS step FROM t WHERE depth = 1 UNION ALL SELECT start, b.node_id, step + 1 FROM w JOIN b ON b.parent_id = w.here)

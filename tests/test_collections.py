@@ -6,7 +6,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from folia.operators import collections, datasets, extracted, outlines
+from folia.operators import collections, datasets, extracted, merging, outlines, resolution
 from folia.sources import graphs
 
 
@@ -88,3 +88,13 @@ def test_samples_of_groups(spark):
     single, multi = spark.range(50).withColumnRenamed("id", "group_id"), spark.range(100, 103).withColumnRenamed("id", "group_id")
     took = datasets.sample_groups(single, multi, 15, 0.7, 3).collect()
     assert [sum(r["kind"] == k for r in took) for k in ("single", "multi")] == [10, 3] and len({r["place"] for r in took}) == 13
+
+
+def test_decisions_and_refined_texts(spark):
+    c = spark.createDataFrame([(1, 5, 0.9), (1, 4, 0.9), (1, 3, 0.2), (2, 1, 0.4), (3, 7, 0.6), (3, 8, 0.5)], "g int, id int, score double")
+    assert sorted(map(tuple, resolution.decide(c, "g").collect())) == [(1, 4, 0.9), (3, 7, 0.6)]
+    chosen = spark.createDataFrame([(1, 1), (2, 0), (3, 2)], "g int, index int")
+    assert sorted(map(tuple, resolution.decide(c, "g", chosen=chosen).collect())) == [(1, 5, 0.9)]
+    assert resolution.decide(c, "g", chosen=spark.createDataFrame([(1, -1), (3, None)], "g int, index int")).count() == 0
+    e = spark.createDataFrame([("a<SEP> b<SEP>a<SEP>",), ("plain",), (None,), ("<SEP>",)], "description string")
+    assert [r[0] for r in merging.refined_descriptions(e).collect()] == ["a; b", "plain", None, ""]
