@@ -15,6 +15,9 @@ ROUNDS = (
     ("number", r"\b([0-9]{3,})\b"), ("acronym", r"\b([A-Z]{2,})\b"),
 )
 
+# Java's \b takes letters and digits of all scripts for parts of a word before version 19 and not after it; this edge knows ASCII alone, as the SQL does.
+EDGE = r"(?:(?<![0-9A-Za-z_])(?=[0-9A-Za-z_])|(?<=[0-9A-Za-z_])(?![0-9A-Za-z_]))"
+
 Extract = Callable[[DataFrame, int], DataFrame]
 
 
@@ -23,6 +26,7 @@ def by_pattern(chunks: DataFrame, n: int) -> DataFrame:
     if n >= len(ROUNDS):
         return chunks.select("chunk_id", F.lit("").alias("kind"), F.lit("").alias("record")).limit(0)
     kind, pattern = ROUNDS[n]
+    pattern = pattern.replace(r"\b", EDGE)
     return chunks.select("chunk_id", F.lit(kind).alias("kind"), F.explode(F.regexp_extract_all("text", F.lit(pattern), 1)).alias("record"))
 
 
