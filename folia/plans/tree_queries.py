@@ -147,5 +147,5 @@ def drop_invalid(spark, d):
     SELECT pos, coalesce(pp = page - 1 AND pn = n_cols AND caption = '', false) AS continues FROM p""")
 def split_tables(spark, d):
     t = table(spark, d, "events").where("event_type in ('view', 'signup')").select(
-        "user_id", F.col("event_id").alias("pos"), F.floor(F.col("event_id") / 50).alias("page"), (F.round("value").cast("int") % 3).alias("n_cols"), F.when(F.col("event_type") == "signup", "x").otherwise("").alias("caption"))
+        "user_id", F.col("event_id").alias("pos"), F.floor(F.col("event_id") / 50).alias("page"), (F.rint("value").cast("int") % 3).alias("n_cols"), F.when(F.col("event_type") == "signup", "x").otherwise("").alias("caption"))
     return blocks.continued_tables(t, ["user_id"]).select("pos", "continues")

@@ -27,3 +27,10 @@ def test_words_end_at_letters_beyond_ascii(spark, tmp_path):
     rows = [(k, start + e) for k, e in enumerate(edges)]
     got, want = both(spark, tmp_path, "gleaned_records", documents=("doc_id long, text string", rows))
     assert got == want and any("SS" in g for g in got) and not any("ABC" in g for g in got)
+
+
+def test_halves_go_to_the_even_number(spark, tmp_path):
+    """Columns of tables by values of a half: 2.5 has as many as 2, not as 3."""
+    rows = [(user, 50 * k, v, "view") for user, values in enumerate([(2.5, 2.0, 3.0), (0.5, 0.0, 1.0), (3.5, 4.0, 3.0), (2.4999, 2.5001, 5.0)]) for k, v in enumerate(values)]
+    got, want = both(spark, tmp_path, "split_tables", events=("user_id long, event_id long, value double, event_type string", rows))
+    assert got == want and any("True" in g for g in got)
