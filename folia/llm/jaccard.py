@@ -8,6 +8,7 @@
    a key. Sets meet by key. Of the pairs that meet those go that step 1 has joined, and those whose bitmaps (the parity of the shingles that fall
    on a bit) differ in more bits than sets of that similarity have shingles apart; the others are confirmed exactly. Where many sets
    meet in a key, they are compared there in parts of bounded size, and a part gives a spanning forest of its links, not its pairs.
+   Before sets travel, what is left is held against bitmaps that are as long as the sets are large: short ones tell long sets nothing.
 
 Sets are not stored: they are made from the texts where they are needed, and kept only for those that are compared."""
 
@@ -36,8 +37,10 @@ CHUNK, SHINGLES = 512, 4 << 20
 BUCKET = 8 << 20
 #: Sets of more rows than this part of all are few, so they may be broadcast.
 HOT = 256
-#: Bits of a set's bitmap.
+#: Bits of a set's bitmap, and of the least fine one.
 BITS = 1024
+#: Pairs for each set that a part of a crowded key may give; where more are open, its sets are compared together.
+SPARSE = 4
 #: Shingles that go to the end of the order at most; it bounds what the driver gathers and changes cost, not results.
 COMMON = 1 << 17
 
@@ -107,6 +110,40 @@ def _meetings(key: np.ndarray, node: np.ndarray, size: np.ndarray) -> tuple[np.n
     return np.unique(np.concatenate(found), axis=0), np.stack((key[~few], node[~few]), axis=1)
 
 
+def fine_map(s: np.ndarray) -> bytes:
+    """Bitmap of a set with a bit for each of its shingles at least, their number a power of two, so that halves of a longer one fold onto a shorter one."""
+    bits = max(BITS, 1 << (len(s) - 1).bit_length())
+    return np.packbits((np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def folded(x: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps (rows of 64-bit words) at a smaller length."""
+    while x.shape[-1] > words:
+        half = x.shape[-1] // 2
+        x = x[..., :half] ^ x[..., half:]
+    return x
+
+
+def _may_reach(apart, n):
+    """Whether sets of n shingles in all whose bitmaps differ in `apart` bits may reach LEAST."""
+    return (LEAST[0] + LEAST[1]) * apart <= (LEAST[1] - LEAST[0]) * n
+
+
+def open_pairs(maps: list[bytes], size: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """Places (rows a, b) of the sets of different roots that may reach LEAST by their sizes and fine bitmaps."""
+    words, found = np.array([len(m) // 8 for m in maps], np.int64), [np.zeros((0, 2), np.int64)]
+    for w in np.unique(words):  # the shorter bitmap of a pair has w words; sets that are alike have at most twice as long ones
+        at = np.concatenate((np.flatnonzero(words == w), np.flatnonzero(words == 2 * w)))
+        x = np.stack([folded(np.frombuffer(maps[k], np.uint64), w) for k in at])
+        for i in range(int((words == w).sum())):
+            a, others = at[i], at[i + 1 :]
+            ok = np.flatnonzero((root[others] != root[a]) & _similar(np.minimum(size[others], size[a]), size[others], size[a]))
+            if len(ok):
+                ok = ok[_may_reach(np.bitwise_count(x[i + 1 + ok] ^ x[i]).sum(axis=1, dtype=np.int64), size[others[ok]] + size[a])]
+                found.append(np.stack((np.full(len(ok), a), others[ok]), axis=1))
+    return np.concatenate(found)
+
+
 def forest(node: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """Spanning links of the sets that reach LEAST: reached ones leave those that are compared."""
     size = np.array([len(s) for s in sets], np.int64)
@@ -131,8 +168,8 @@ def forest(node: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
     return links
 
 
-def stored(docs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
-    """(node, shingles) of the texts of `rows` (node, row). A bit map of the rows keeps other texts out of the join."""
+def stored(docs: DataFrame, rows: DataFrame, width: int, form=np.ndarray.tobytes) -> DataFrame:
+    """(node, shingles) of the texts of `rows` (node, row), as `form` gives the bytes of a set. A bit map of the rows keeps other texts out of the join."""
     rows = written(rows)
     few = bit_map(rows.select(F.xxhash64("row").alias("h")))
 
@@ -144,7 +181,7 @@ def stored(docs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 2 << 20):
-            sets = [np.unique(shingle_hashes(t, width)).tobytes() for t in raw(b, "text")]
+            sets = [form(np.unique(shingle_hashes(t, width))) for t in raw(b, "text")]
             yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
     some = docs.select("row", "text", F.xxhash64("row").alias("h")).mapInArrow(sift, "row long, text string")
@@ -258,6 +295,47 @@ def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     return written(known.union(fresh))
 
 
+def sifted(pairs: DataFrame, fine: DataFrame) -> DataFrame:
+    """The pairs (a, b) that may reach LEAST by their fine bitmaps; fine (node, bits, n, root)."""
+
+    @lean
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok, n = np.zeros(b.num_rows, bool), b.column("n").to_numpy(zero_copy_only=False)
+            for k in range(b.num_rows):
+                x, y = (np.frombuffer(b.column(c)[k].as_py(), np.uint64) for c in ("xa", "xb"))
+                words = min(len(x), len(y))
+                ok[k] = _may_reach(int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum(dtype=np.int64)), n[k])
+            yield b.select(["a", "b"]).filter(pa.array(ok))
+
+    side = lambda k: fine.select(F.col("node").alias(k), F.col("bits").alias(f"x{k}"), F.col("n").alias(f"n{k}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.select("a", "b", "xa", "xb", (F.col("na") + F.col("nb")).alias("n")).mapInArrow(differ, "a long, b long")
+
+
+def opened(crowd: DataFrame, fine: DataFrame, by: list[str]) -> DataFrame:
+    """(key, a, b) of crowd (key, by…, node): pairs of different roots of a group that may reach LEAST by their fine bitmaps, or, where these
+    are over SPARSE for each of their nodes, the nodes alone (b null)."""
+
+    @lean_group
+    def run(t: pa.Table) -> pa.Table:
+        node, size, root = (t.column(c).to_numpy() for c in ("node", "n", "root"))
+        got = open_pairs(t.column("bits").to_pylist(), size, root)
+        held = np.unique(got)
+        many = len(got) > SPARSE * len(held)
+        a = node[held] if many else np.minimum(node[got[:, 0]], node[got[:, 1]])
+        b = pa.nulls(len(a), pa.int64()) if many else pa.array(np.maximum(node[got[:, 0]], node[got[:, 1]]))
+        return pa.table({"key": pa.array(np.full(len(a), t.column("key")[0].as_py(), np.int64)), "a": pa.array(a), "b": b})
+
+    return crowd.select(*by, "node").join(fine, "node").groupBy(*by).applyInArrow(run, "key long, a long, b long")
+
+
+def part_pairs(crowd: DataFrame) -> DataFrame:
+    """(key, lo_part, hi_part, node): every two parts of a key of crowd (key, node, parts, part)."""
+    two = crowd.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("part <> other")
+    return two.select("key", F.least("part", "other").alias("lo_part"), F.greatest("part", "other").alias("hi_part"), "node")
+
+
 def across(crowd: DataFrame, sets: DataFrame, roots: DataFrame, sizes: DataFrame) -> DataFrame:
     """roots after the links between the parts of crowded keys (key, node), so that no task holds a whole key.
 
@@ -272,10 +350,8 @@ def across(crowd: DataFrame, sets: DataFrame, roots: DataFrame, sizes: DataFrame
     left = written(parted(unsettled(left, roots, ["key"]), sizes))
     if not left.take(1):
         return roots
-    two = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("part <> other")
-    two = two.select("key", F.least("part", "other").alias("lo_part"), F.greatest("part", "other").alias("hi_part"), "node")
     by = ["key", "lo_part", "hi_part"]
-    return merged(roots, together(written(unsettled(two, roots, by)), sets, by))
+    return merged(roots, together(written(unsettled(part_pairs(left), roots, by)), sets, by))
 
 
 def near_duplicates(docs: DataFrame, row_col: str, width: int = 5, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -308,7 +384,7 @@ def near_duplicates(docs: DataFrame, row_col: str, width: int = 5, text_col: str
             x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64).reshape(b.num_rows, -1) for c in ("xa", "xb"))
             n = b.column("na").to_numpy(zero_copy_only=False) + b.column("nb").to_numpy(zero_copy_only=False)
             apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
-            ok = (LEAST[0] + LEAST[1]) * apart <= (LEAST[1] - LEAST[0]) * n
+            ok = _may_reach(apart, n)
             yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     pairs = met.where("not many").select("a", "b").distinct().join(maps.toDF("a", "xa", "na", "ra"), "a").join(maps.toDF("b", "xb", "nb", "rb"), "b").where("ra <> rb")
@@ -316,9 +392,19 @@ def near_duplicates(docs: DataFrame, row_col: str, width: int = 5, text_col: str
     # a key whose nodes step 1 has all joined has nothing left to find
     crowd = unsettled(met.where("many").select(F.col("a").alias("key"), F.col("b").alias("node")), maps.select("node", "root"), ["key"])
     crowd = written(parted(crowd, nodes))
+    # fine bitmaps of what is open; sets are made of what these leave
+    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowd.select("node")).distinct()
+    fine = stored(docs, nodes.join(needed, "node").select("node", "row"), width, fine_map).withColumnRenamed("shingles", "bits")
+    fine = written(fine.join(maps.select("node", "n", "root"), "node"))
+    seen = written(opened(crowd, fine, ["key", "part"]).union(opened(part_pairs(crowd.where("parts > 1")), fine, ["key", "lo_part", "hi_part"])))
+    pairs = written(sifted(pairs, fine).union(seen.where("b is not null").select("a", "b")).distinct())
+    crowd = written(seen.where("b is null").select("key", F.col("a").alias("node")).distinct())
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowd.select("node")).distinct()
     some = stored(docs, nodes.join(needed, "node").select("node", "row"), width)
-    roots = merged(joined, confirmed_in_turns(pairs, some, nodes.select("node", "n")).union(together(crowd, some, ["key", "part"])))
+    roots = merged(joined, confirmed_in_turns(pairs, some, nodes.select("node", "n")))
+    crowd = written(parted(unsettled(crowd, roots, ["key"]), nodes))
+    if crowd.take(1):
+        roots = merged(roots, together(crowd, some, ["key", "part"]))
     if crowd.where("parts > 1").take(1):
         roots = across(crowd.where("parts > 1").select("key", "node"), some, roots, nodes)
     # rows whose text no link touches keep their node; sets of very many rows are few, so their rows stay where they are
