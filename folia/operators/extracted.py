@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folia.functions.text import clean_name, truncate_words
 from folia.operators.graph import nearest_names
+from folia.plans.runtime import materialize
 
 # Types of entities that are made here, words that name an equation, and the similarity from which a name is taken for another.
 EQUATION, UNKNOWN, NAME_WORDS, LEAST = "EQUATION_OR_FORMULA", "UNKNOWN", 8, 0.9
@@ -40,10 +41,11 @@ def repair_records(entities: DataFrame, relations: DataFrame, key: str) -> tuple
     An extraction is what one chunk gives, so its names are compared with each other; unknown names attract no others."""
     e = entities.select(key, "pos", clean_name("name").alias("name"), F.replace(F.upper("type"), F.lit(" "), F.lit("_")).alias("type"), F.coalesce("description", F.lit("")).alias("description"))
     merged = e.groupBy(key, "name", "type").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "description"))), lambda x: x["description"]), " ").alias("description"))
+    merged = materialize(merged)
     r = relations.withColumns({"src": clean_name("src"), "dst": clean_name("dst")})
-    asked = r.select(key, F.explode(F.array("src", "dst")).alias("name")).distinct()
+    asked = materialize(r.select(key, F.explode(F.array("src", "dst")).alias("name")).distinct())
     known = merged.select(key, F.col("name").alias("known")).distinct()
-    near = nearest_names(asked, known, key, LEAST).select(key, "name", "match")
+    near = nearest_names(asked, known, key, LEAST, near_only=True).select(key, "name", "match")
     to = asked.join(near, [key, "name"], "left").withColumn("to", F.coalesce("match", "name"))
     fresh = to.where("match is null").select(key, "name", F.lit(UNKNOWN).alias("type"), F.lit("").alias("description"))
     ends = r.join(to.select(key, F.col("name").alias("src"), F.col("to").alias("_s")), [key, "src"]).join(to.select(key, F.col("name").alias("dst"), F.col("to").alias("_d")), [key, "dst"])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from folia.operators import collections, datasets, extracted
 from folia.plans.graph_queries import co_suppliers
 from folia.plans.registry import query
+from folia.plans.runtime import dealt, materialize
 from folia.plans.table_queries import _GRID, grids
 from folia.plans.tree_queries import _sql, hierarchy
 from folia.session import scratch, table
@@ -69,8 +70,8 @@ def graph_store(spark, d):
     """The graph of suppliers that share orders, saved as three tables and read back."""
     path = f"{scratch(spark)}/graph-{spark.sparkContext.applicationId}"
     s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
-    bridge = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("node"), F.col("l_suppkey").alias("entity")).distinct()
-    graphs.save_graph(s, co_suppliers(spark, d), bridge, path)
+    bridge = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("node"), F.col("l_suppkey").alias("entity"))
+    graphs.save_graph(s, co_suppliers(spark, d), dealt(bridge, bridge.count(), "node").distinct(), path)
     v, e, _ = graphs.load_graph(spark, path)
     return e.join(v.withColumnRenamed("id", "a"), "a").select("a", "b", "weight", "name")
 
@@ -84,7 +85,9 @@ _REC = """t AS (SELECT l_orderkey AS k, l_linenumber * 100000000 + l_partkey * 1
 
 
 def _records(spark, d):
-    t = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("p_partkey") == F.col("l_partkey"))
+    p = table(spark, d, "part").select("p_partkey", "p_name", "p_type")
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_quantity")
+    t = materialize(dealt(li, li.count(), "l_partkey").join(p, F.col("p_partkey") == F.col("l_partkey")))
     pos = F.col("l_linenumber") * 100000000 + F.col("l_partkey") * 1000 + F.col("l_suppkey") % 1000
     name = F.concat("p_name", F.lit(" "), (F.col("l_partkey") % 100).cast("string"))
     e = t.select(F.col("l_orderkey").alias("k"), pos.alias("pos"), F.concat(F.lit("  "), F.upper(F.replace(name, F.lit(" "), F.lit("  ")))).alias("name"), F.concat("p_type", F.lit(" kind")).alias("type"), F.col("l_returnflag").alias("description"))

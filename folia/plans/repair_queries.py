@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folia.operators import bm25, repair, retrieval, tree
 from folia.plans.graph_queries import _PPR, co_suppliers
 from folia.plans.registry import query
+from folia.plans.runtime import dealt
 from folia.plans.search_queries import _BM25
 from folia.session import table
 
@@ -112,7 +113,7 @@ def renamed_edges(spark, d):
     """Every fifth supplier goes under the name of the next one."""
     s = table(spark, d, "supplier").where("s_suppkey % 5 = 0").select(F.col("s_suppkey").alias("old"), (F.col("s_suppkey") + 1).alias("new"))
     bridge = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("node"), F.col("l_suppkey").alias("entity"))
-    return retrieval.rename_vertices(co_suppliers(spark, d), bridge, s)[0]
+    return retrieval.rename_vertices(co_suppliers(spark, d), bridge, s, bridge.count())[0]
 
 
 _LINKED_PPR = _PPR.replace("1.0 + s_suppkey % 3 AS mass", "((s_suppkey % 3) / 2.0 - 0.2 + 1) / 2 AS mass")
@@ -123,7 +124,8 @@ def graph_rerank(spark, d):
     """Parts by the PageRank of their suppliers, restarts at the suppliers of one nation by a similarity."""
     s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("node"), "s_nationkey")
     sims = s.where("s_nationkey = 3").select("node", ((F.col("node") % 3) / 2.0 - 0.2).alias("similarity"))
-    bridge = table(spark, d, "lineitem").select(F.col("l_partkey").alias("node"), F.col("l_suppkey").alias("entity")).distinct()
+    bridge = table(spark, d, "lineitem").select(F.col("l_partkey").alias("node"), F.col("l_suppkey").alias("entity"))
+    bridge = dealt(bridge, bridge.count(), "node").distinct()
     nodes = table(spark, d, "part").select(F.col("p_partkey").alias("node"))
     return retrieval.graph_rerank(s.select("node"), co_suppliers(spark, d), sims, bridge, nodes, rounds=10, fixed=True).withColumn("score", F.round("score", 5))
 
@@ -135,6 +137,7 @@ def graph_rerank(spark, d):
 def text_rerank(spark, d):
     docs, items = table(spark, d, "documents"), table(spark, d, "benchmark")
     hits = bm25.search(docs, items, 10).where("score > 0")
+    docs = docs.join(hits.select("doc_id").distinct(), "doc_id", "left_semi")
     return retrieval.text_rerank(hits, items, docs, "item_id", "doc_id").withColumn("score", F.round("score", 6))
 
 
@@ -143,6 +146,7 @@ def text_rerank(spark, d):
 def routed_hits(spark, d):
     hits = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("query_id"), F.col("l_partkey").alias("file_name"), F.col("l_extendedprice").cast("double").alias("distance"))
     registry = table(spark, d, "part").where("p_size > 10").select(F.col("p_partkey").alias("doc_uuid"))
+    hits = dealt(hits, hits.count(), "file_name")
     return retrieval.route_hits(hits, registry, 3).select("query_id", "doc_uuid", "distance", "place")
 
 
