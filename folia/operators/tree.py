@@ -9,15 +9,19 @@ from pyspark.sql import functions as F
 def with_paths(nodes: DataFrame, doc: list[str]) -> DataFrame:
     """Adds depth (root 0) and path (ids from the root to the node) to (doc…, node_id, parent_id, …).
 
-    One join of the frontier with its children for each level, however deep; documents are taken side by side. A node whose parent is missing,
+    One join of the frontier with its children for each level, however deep, as far as it has any; documents are taken side by side. A node whose parent is missing,
     or that lies on a cycle, is not reached and left out."""
     from folia.plans.runtime import materialize
 
     nodes = materialize(nodes)
+    parents = materialize(nodes.where("parent_id is not null").select(*doc, F.col("parent_id").alias("node_id")).distinct())
     front = nodes.where("parent_id is null").withColumn("depth", F.lit(0)).withColumn("path", F.array("node_id"))
     out, depth = front, 0
     while True:
-        up = front.select(*doc, F.col("node_id").alias("parent_id"), F.col("path").alias("_path"))
+        up = front.join(parents, [*doc, "node_id"], "left_semi").select(*doc, F.col("node_id").alias("parent_id"), F.col("path").alias("_path"))
+        up = materialize(up)  # leaves and their paths do not meet all nodes
+        if not up.take(1):
+            break
         front = nodes.join(up, [*doc, "parent_id"]).withColumn("depth", F.lit(depth + 1)).withColumn("path", F.concat("_path", F.array("node_id"))).select(out.columns)
         front = materialize(front)
         if not front.take(1):
