@@ -85,8 +85,10 @@ def table_entities(tables: DataFrame, key: str, n_header: int = 1) -> DataFrame:
 
     A cell's type is its column. Names are cleaned; of equal ones of a table the first stays, columns before cells, cells by row. Places count from 0."""
     g, h = F.col("grid"), F.lit(n_header)
-    name, text = table_entity(F.col(key), F.col("caption"), F.col("footnote"))
-    columns = column_names(g, h)
+    said, text = table_entity(F.col(key), F.col("caption"), F.col("footnote"))
+    # columns of their own, so that they are made once for a table and not for each cell
+    tables = tables.withColumns({"_name": said, "_columns": column_names(g, h)})
+    name, columns = F.col("_name"), F.col("_columns")
     entity = lambda n, t, d: F.struct(n.alias("name"), t.alias("type"), d.alias("description"))
     heads = F.transform(columns, lambda c: entity(clean_name(c), F.lit("COLUMN"), F.concat(F.lit("A column of "), name)))
     body = F.slice(g, h + 1, F.greatest(F.size(g) - h, F.lit(0)))
@@ -100,6 +102,7 @@ def table_entities(tables: DataFrame, key: str, n_header: int = 1) -> DataFrame:
 
 def table_relations(entities: DataFrame, key: str) -> DataFrame:
     """(key, src, dst, weight, description): from the entity of each table to every other one of it."""
-    own = entities.where(F.col("type") == TABLE).where("place = 0").select(key, F.col("name").alias("src"))
+    own = F.when((F.col("type") == TABLE) & (F.col("place") == 0), F.col("name"))
+    named = entities.where(F.col(key).isNotNull()).withColumn("src", F.max(own).over(Window.partitionBy(key)))
     said = F.concat(F.lit("Table '"), F.col("src"), F.lit("' contains data about '"), F.col("name"), F.lit("'."))
-    return entities.where(F.col("type") != TABLE).join(own, key).select(key, "src", F.col("name").alias("dst"), F.lit(WEIGHT).alias("weight"), said.alias("description"))
+    return named.where((F.col("type") != TABLE) & F.col("src").isNotNull()).select(key, "src", F.col("name").alias("dst"), F.lit(WEIGHT).alias("weight"), said.alias("description"))

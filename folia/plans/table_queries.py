@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from folia.operators import table_graph
 from folia.plans.registry import query
+from folia.plans.runtime import dealt
 from folia.session import table
 
 # a table for each order: a header, where the order is even, and a row for each line; tables of forty orders are a document, two to a page at most
@@ -22,7 +23,7 @@ def grids(spark, d):
     k = F.col("l_orderkey")
     li = table(spark, d, "lineitem").select(
         k.alias("k"), F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", F.concat_ws(" ", "l_returnflag", "l_linestatus").alias("flag")).alias("x"))
-    o = li.groupBy("k").agg(F.sort_array(F.collect_list("x")).alias("x"))
+    o = dealt(li, li.count(), "k").groupBy("k").agg(F.sort_array(F.collect_list("x")).alias("x"))
     cut = (F.col("k") % 2 == 1) & (F.col("k") % 7 != 0) & (F.col("k") % 11 != 0) & (F.col("k") % 5 < 3)
     wide = F.col("k") % 3 == 0
     cells = lambda a, b, c: F.when(wide, F.array(a, b, c, F.lit("x"))).otherwise(F.array(a, b, c))
