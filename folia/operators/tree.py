@@ -75,6 +75,31 @@ def roll_up(tree: DataFrame, doc: list[str], value: str) -> DataFrame:
     return ancestors(tree, doc).groupBy(*doc, F.col("ancestor").alias("node_id")).agg(F.count("*").alias("n_nodes"), F.sum(value).alias("total"))
 
 
+def rolled_up(nodes: DataFrame, doc: list[str], value: str) -> DataFrame:
+    """roll_up(with_paths(nodes, doc), doc, value) for large trees, where most nodes are leaves: only nodes with children, and roots, get a path.
+
+    Leaves are added up by their parent, and that sum goes to the nodes of the parent's path. Rows are dealt by keys, so the memory of a task does not grow with the tree."""
+    from folia.plans.runtime import dealt, materialize
+
+    keys = [*doc, "node_id"]
+    rows = materialize(nodes.select(*keys, "parent_id", F.col(value).alias("_v")))
+    n = rows.count()
+    parents = dealt(rows.where("parent_id is not null").select(*doc, F.col("parent_id").alias("node_id")), n, *keys).distinct()
+    rows = materialize(dealt(rows, n, *keys).join(dealt(parents, n, *keys).withColumn("_inner", F.lit(True)), keys, "left"))
+    inner = "_inner or parent_id is null"
+    tree = materialize(with_paths(rows.where(inner).drop("_inner"), doc))
+    leaves = dealt(rows.where(f"not coalesce({inner}, false)").drop("_inner"), n, *doc, "parent_id")
+    m = tree.count()
+    of_parent = leaves.groupBy(*doc, "parent_id").agg(F.count("*").alias("_n"), F.sum("_v").alias("_s")).withColumnRenamed("parent_id", "node_id")
+    reached = dealt(tree.select(*doc, F.col("node_id").alias("parent_id")), n, *doc, "parent_id")
+    own = leaves.join(reached, [*doc, "parent_id"]).select(*keys, F.lit(1).cast("long").alias("_n"), F.col("_v").alias("_s"))
+    above = dealt(tree.drop("_v"), n, *keys).join(of_parent, keys).select(*doc, F.explode("path").alias("node_id"), "_n", "_s")
+    whole = tree.select(*doc, F.explode("path").alias("node_id"), F.lit(1).cast("long").alias("_n"), F.col("_v").alias("_s"))
+    add = lambda df, rows: dealt(df.groupBy(*keys).agg(F.sum("_n").alias("_n"), F.sum("_s").alias("_s")), rows, *keys)
+    every = add(above, m).unionByName(add(whole, m)).unionByName(own)
+    return dealt(every, n, *keys).groupBy(*keys).agg(F.sum("_n").alias("n_nodes"), F.sum("_s").alias("total"))
+
+
 def heading_parents(rows: DataFrame, doc: list[str], order: str, level: str, max_level: int) -> DataFrame:
     """Adds parent: the nearest row before with a smaller level (0 to max_level)."""
     before = Window.partitionBy(*doc).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import functions as F
 
 from folia.operators import blocks, tree
 from folia.plans.registry import query
+from folia.plans.runtime import dealt
 from folia.session import table
 
 
 def hierarchy(spark, d, lines: bool = True):
     """(node_id, parent_id, kind, title, value): regions stand under one root."""
-    key = lambda p, c: F.concat(F.lit(p), F.format_string("%08d", F.col(c).cast("long")))
+    digits = lambda c: F.concat(F.repeat(F.lit("0"), F.greatest(F.lit(0), 8 - F.length(c))), c)
+    # of numbers below zero and nulls the general way writes what it did
+    key = lambda p, c: F.concat(F.lit(p), F.when(F.col(c).cast("long") >= 0, digits(F.col(c).cast("long").cast("string"))).otherwise(F.format_string("%08d", F.col(c).cast("long"))))
     row = lambda df, i, up, kind, title, value: df.select(i.alias("node_id"), up.alias("parent_id"), F.lit(kind).alias("kind"), title.alias("title"), value.cast("double").alias("value"))
     r, n, c, o = (table(spark, d, t) for t in ("region", "nation", "customer", "orders"))
     root = spark.range(1).select(F.lit("root").alias("node_id"), F.lit(None).cast("string").alias("parent_id"), F.lit("root").alias("kind"), F.lit("root").alias("title"), F.lit(0.0).alias("value"))
@@ -21,8 +27,13 @@ def hierarchy(spark, d, lines: bool = True):
     out = out.unionByName(row(c, key("c", "c_custkey"), key("n", "c_nationkey"), "customer", F.col("c_name"), zero))
     out = out.unionByName(row(o, key("o", "o_orderkey"), key("c", "o_custkey"), "order", F.col("o_orderstatus"), F.col("o_totalprice")))
     if lines:
+        # a line equals no node of another kind; lines are told apart by their numbers, before they are written out
         li = table(spark, d, "lineitem")
-        out = out.unionByName(row(li, F.concat(key("l", "l_orderkey"), F.lit("-"), F.col("l_linenumber").cast("string"), F.lit("-"), "l_partkey", F.lit("-"), "l_suppkey"), key("o", "l_orderkey"), "line", F.col("l_returnflag"), F.col("l_quantity")))
+        parts = [F.col(c) for c in ("l_linenumber", "l_partkey", "l_suppkey")]
+        place = F.when(reduce(and_, [c.isNotNull() for c in parts]), F.struct(*parts)).alias("place")
+        li = dealt(li.select("l_orderkey", place, "l_returnflag", F.col("l_quantity").cast("double").alias("l_quantity")), li.count(), "l_orderkey").distinct()
+        at = F.concat(key("l", "l_orderkey"), *[x for c in ("l_linenumber", "l_partkey", "l_suppkey") for x in (F.lit("-"), F.col(f"place.{c}").cast("string"))])
+        return out.distinct().unionByName(row(li, at, key("o", "l_orderkey"), "line", F.col("l_returnflag"), F.col("l_quantity")))
     return out.distinct()
 
 
@@ -95,7 +106,7 @@ def tree_one_depth(spark, d):
 
 @query(_sql() + """ SELECT a AS node_id, count(*) AS n_nodes, round(sum(value), 2) AS total FROM (SELECT unnest(path) AS a, value FROM t) GROUP BY 1""")
 def tree_bottom_up_rollup(spark, d):
-    return tree.roll_up(_tree(spark, d), [], "value").withColumn("total", F.round("total", 2))
+    return tree.rolled_up(hierarchy(spark, d), [], "value").withColumn("total", F.round("total", 2))
 
 
 @query(_sql(False) + """ SELECT parent_id AS node_id, count(*) FILTER (WHERE title = 'F') AS n_F, count(*) FILTER (WHERE title = 'O') AS n_O, count(*) FILTER (WHERE title = 'P') AS n_P
