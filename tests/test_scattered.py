@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from folia.operators import bm25
-from folia.plans import runtime
+from folia.plans import catalog, runtime
 from folia.session import table
 
 
@@ -40,3 +40,17 @@ def test_own_splits_stay(spark):
         assert spark.conf.get(key) == "8m"
     finally:
         spark.conf.set(key, usual)
+
+
+def test_answers_with_many_partitions(spark, tiny, monkeypatch):
+    usual = sorted(catalog.QUERIES["evidence_answers"](spark, tiny).collect())
+    dealt = []
+    monkeypatch.setattr(runtime, "ROWS", 500)
+    repartition = type(spark.range(1)).repartition
+    monkeypatch.setattr(type(spark.range(1)), "repartition", lambda self, n, *c: dealt.append(n) or repartition(self, n, *c))
+    spark.conf.set("spark.sql.shuffle.partitions", "100")
+    try:
+        assert sorted(catalog.QUERIES["evidence_answers"](spark, tiny).collect()) == usual
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(dealt) == 2 and min(dealt) > 4
