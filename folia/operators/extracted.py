@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folia.functions.text import clean_name, truncate_words
-from folia.operators.graph import nearest_names
 from folia.plans.runtime import materialize
 
 # Types of entities that are made here, words that name an equation, and the similarity from which a name is taken for another.
@@ -39,18 +38,50 @@ def repair_records(entities: DataFrame, relations: DataFrame, key: str) -> tuple
     Names are in lower case with single spaces, types in upper case with underscores. Entities (key, pos, name, type, description) that agree in name and type are one, their descriptions in order with a space between. An end of a relation
     (key, pos, src, dst, relation, weight, description) that no entity of the extraction bears becomes the nearest name by edit distance, if alike enough, else an entity of type UNKNOWN without description. Of relations with equal ends and name the first stays.
     An extraction is what one chunk gives, so its names are compared with each other; unknown names attract no others."""
-    e = entities.select(key, "pos", clean_name("name").alias("name"), F.replace(F.upper("type"), F.lit(" "), F.lit("_")).alias("type"), F.coalesce("description", F.lit("")).alias("description"))
-    merged = e.groupBy(key, "name", "type").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "description"))), lambda x: x["description"]), " ").alias("description"))
-    merged = materialize(merged)
-    r = relations.withColumns({"src": clean_name("src"), "dst": clean_name("dst")})
-    asked = materialize(r.select(key, F.explode(F.array("src", "dst")).alias("name")).distinct())
-    known = merged.select(key, F.col("name").alias("known")).distinct()
-    near = nearest_names(asked, known, key, LEAST, near_only=True).select(key, "name", "match")
-    to = asked.join(near, [key, "name"], "left").withColumn("to", F.coalesce("match", "name"))
-    fresh = to.where("match is null").select(key, "name", F.lit(UNKNOWN).alias("type"), F.lit("").alias("description"))
-    ends = r.join(to.select(key, F.col("name").alias("src"), F.col("to").alias("_s")), [key, "src"]).join(to.select(key, F.col("name").alias("dst"), F.col("to").alias("_d")), [key, "dst"])
-    first = ends.groupBy(key, F.col("_s").alias("src"), F.col("_d").alias("dst"), "relation").agg(F.min_by(F.struct("weight", "description"), F.struct("pos", "weight", "description")).alias("x"))
-    return merged.unionByName(fresh), first.select(key, "src", "dst", "relation", "x.weight", "x.description")
+    entity = F.struct("pos", "name", "type", "description")
+    relation = F.struct("pos", "src", "dst", "relation", "weight", "description")
+    e = entities.groupBy(key).agg(F.collect_list(entity).alias("entities"))
+    r = relations.groupBy(key).agg(F.collect_list(relation).alias("relations"))
+    return repair_grouped(e.join(r.withColumnRenamed(key, "_k"), F.col(key).eqNullSafe(F.col("_k")), "full").select(F.coalesce(key, "_k").alias(key), "entities", "relations"), key)
+
+
+def _matches(known: Column, asked: Column) -> Column:
+    """(name, match) of each name asked for: itself where it is known, else the nearest known name by edit distance, the smallest on ties, null under the threshold; lengths that alone keep a name under it are not compared."""
+
+    def nearest(name: Column) -> Column:
+        longest = lambda k: F.greatest(F.length(name), F.length(k))
+        near = F.filter(known, lambda k: F.abs(F.length(name) - F.length(k)) <= (1 - LEAST) * longest(k) + 1e-6)
+        best = F.array_min(F.transform(near, lambda k: F.struct((-(1 - F.levenshtein(name, k) / longest(k))).alias("s"), k.alias("k"))))
+        return F.when(F.coalesce(F.array_contains(known, name), F.lit(False)), name).when(-best["s"] >= LEAST, best["k"])
+
+    return F.transform(asked, lambda n: F.struct(n.alias("name"), nearest(n).alias("match")))
+
+
+def repair_grouped(records: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """repair_records of extractions that are one row each: key, entities of (pos, name, type, description), relations of (pos, src, dst, relation, weight, description); either may be null.
+
+    Only the written table of these is read twice; what is done inside an extraction is done in its row, without a further shuffle. Records without a key are not compared with each other."""
+    e = F.transform("entities", lambda x: F.struct(x["pos"].alias("pos"), clean_name(x["name"]).alias("name"), F.replace(F.upper(x["type"]), F.lit(" "), F.lit("_")).alias("type"), F.coalesce(x["description"], F.lit("")).alias("description")))
+    ends = lambda x: (clean_name(x["src"]).alias("src"), clean_name(x["dst"]).alias("dst"))
+    r = F.transform("relations", lambda x: F.struct(*ends(x), x["relation"].alias("relation"), x["pos"].alias("pos"), x["weight"].alias("weight"), x["description"].alias("description")))
+    t = materialize(records.select(key, e.alias("entities"), r.alias("relations")))
+    kinds = F.array_distinct(F.transform("entities", lambda x: F.struct(x["name"].alias("name"), x["type"].alias("type"))))
+    said = lambda k: F.array_sort(F.transform(F.filter("entities", lambda x: x["name"].eqNullSafe(k["name"]) & x["type"].eqNullSafe(k["type"])), lambda x: F.struct(x["pos"].alias("pos"), x["description"].alias("description"))))
+    merged = F.transform(kinds, lambda k: F.struct(k["name"].alias("name"), k["type"].alias("type"), F.array_join(F.transform(said(k), lambda x: x["description"]), " ").alias("description")))
+    known = F.when(F.col(key).isNotNull(), F.array_distinct(F.filter(F.transform("entities", lambda x: x["name"]), lambda n: n.isNotNull())))
+    names = F.array().cast("array<string>")
+    asked = F.array_distinct(F.flatten(F.transform("relations", lambda x: F.array(x["src"], x["dst"]))))
+    t = t.withColumns({"_known": F.coalesce(known, names), "_asked": asked}).withColumn("_to", _matches(F.col("_known"), F.col("_asked")))
+    fresh = F.transform(F.filter("_to", lambda x: x["match"].isNull()), lambda x: F.struct(x["name"].alias("name"), F.lit(UNKNOWN).alias("type"), F.lit("").alias("description")))
+    every = t.select(key, F.explode(F.concat(F.coalesce(merged, F.array().cast("array<struct<name:string,type:string,description:string>>")), F.coalesce(fresh, F.array().cast("array<struct<name:string,type:string,description:string>>")))).alias("x")).select(key, "x.name", "x.type", "x.description")
+    to = F.map_from_entries(F.transform(F.filter("_to", lambda x: x["name"].isNotNull()), lambda x: F.struct(x["name"], F.coalesce(x["match"], x["name"]))))
+    t = t.where(F.col(key).isNotNull()).select(key, "relations", to.alias("_to"))
+    known_ends = F.filter("relations", lambda x: x["src"].isNotNull() & x["dst"].isNotNull())
+    rows = F.array_sort(F.transform(known_ends, lambda x: F.struct(F.try_element_at("_to", x["src"]).alias("src"), F.try_element_at("_to", x["dst"]).alias("dst"), *[x[c].alias(c) for c in ("relation", "pos", "weight", "description")])))
+    same = lambda x, y: x["src"].eqNullSafe(y["src"]) & x["dst"].eqNullSafe(y["dst"]) & x["relation"].eqNullSafe(y["relation"])
+    first = F.filter("_rows", lambda x, i: (i == 0) | ~same(x, F.get("_rows", i - 1)))
+    t = t.select(key, rows.alias("_rows")).select(key, F.explode(first).alias("x"))
+    return every, t.select(key, "x.src", "x.dst", "x.relation", "x.weight", "x.description")
 
 
 def schema_summary(grid: Column, caption: Column, footnote: Column, share: float = 0.5) -> Column:

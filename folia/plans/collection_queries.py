@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from folia.operators import collections, datasets, extracted
 from folia.plans.graph_queries import co_suppliers
 from folia.plans.registry import query
-from folia.plans.runtime import dealt, materialize
+from folia.plans.runtime import dealt
 from folia.plans.table_queries import _GRID, grids
 from folia.plans.tree_queries import _sql, hierarchy
 from folia.session import scratch, table
@@ -87,13 +87,17 @@ _REC = """t AS (SELECT l_orderkey AS k, l_linenumber * 100000000 + l_partkey * 1
 def _records(spark, d):
     p = table(spark, d, "part").select("p_partkey", "p_name", "p_type")
     li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_quantity")
-    t = materialize(dealt(li, li.count(), "l_partkey").join(p, F.col("p_partkey") == F.col("l_partkey")))
+    n = li.count()
+    t = dealt(li, n, "l_partkey").join(p, F.col("p_partkey") == F.col("l_partkey"))
     pos = F.col("l_linenumber") * 100000000 + F.col("l_partkey") * 1000 + F.col("l_suppkey") % 1000
-    name = F.concat("p_name", F.lit(" "), (F.col("l_partkey") % 100).cast("string"))
-    e = t.select(F.col("l_orderkey").alias("k"), pos.alias("pos"), F.concat(F.lit("  "), F.upper(F.replace(name, F.lit(" "), F.lit("  ")))).alias("name"), F.concat("p_type", F.lit(" kind")).alias("type"), F.col("l_returnflag").alias("description"))
-    r = t.select(F.col("l_orderkey").alias("k"), pos.alias("pos"), F.concat(name, F.when(F.col("l_linenumber") % 2 == 0, "s").otherwise("")).alias("src"), F.concat(F.lit("Order "), F.col("l_orderkey").cast("string")).alias("dst"),
-                 F.lit("in").alias("relation"), F.col("l_quantity").alias("weight"), F.lit("").alias("description"))
-    return extracted.repair_records(e, r, "k")
+    line = F.struct(pos.alias("pos"), "p_name", "p_type", (F.col("l_partkey") % 100).cast("int").alias("part"), (F.col("l_linenumber") % 2 == 0).alias("even"), "l_returnflag", "l_quantity")
+    # an order is an extraction: its lines come together once
+    t = dealt(t.select(F.col("l_orderkey").alias("k"), line.alias("x")), n, "k").groupBy("k").agg(F.collect_list("x").alias("x"))
+    name = lambda x: F.concat(x["p_name"], F.lit(" "), x["part"].cast("string"))
+    e = F.transform("x", lambda x: F.struct(x["pos"].alias("pos"), F.concat(F.lit("  "), F.upper(F.replace(name(x), F.lit(" "), F.lit("  ")))).alias("name"), F.concat(x["p_type"], F.lit(" kind")).alias("type"), x["l_returnflag"].alias("description")))
+    r = F.transform("x", lambda x: F.struct(x["pos"].alias("pos"), F.concat(name(x), F.when(x["even"], "s").otherwise("")).alias("src"), F.concat(F.lit("Order "), F.col("k").cast("string")).alias("dst"),
+                    F.lit("in").alias("relation"), x["l_quantity"].alias("weight"), F.lit("").alias("description")))
+    return extracted.repair_grouped(t.select("k", e.alias("entities"), r.alias("relations")), "k")
 
 
 @query(f"WITH {_REC} SELECT k, name, type, description FROM e UNION ALL SELECT k, name, 'UNKNOWN', '' FROM m WHERE match IS NULL")
